@@ -1,0 +1,7 @@
+"""Streaming.
+
+The medallion jobs are batch jobs over monthly files: the source has no
+stream input, watermark, window or state. Incremental ingestion is covered
+by dynamic partition overwrite in ``operators.layout`` (a re-run replaces
+only the months it contains), so this package holds no operators.
+"""
