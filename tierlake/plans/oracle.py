@@ -142,3 +142,146 @@ SELECT flow, UPPER(NULLIF(TRIM(flow), '')) AS flow_upper,
        COALESCE(regexp_matches(UPPER(NULLIF(TRIM(flow), '')), 'EXPORT|EXP'), false) AS is_export
 FROM (SELECT DISTINCT flow FROM obs)""",
 }
+
+# --- text, numbers, periods -------------------------------------------------
+
+_PERIOD_FORMAT_NAMES = ("dash_month", "slash_short_month", "compact", "abbr_name_year", "year_full_name",
+                        "timestamp", "dotted_date")
+
+ORACLE_SQL["period_parse"] = "\nUNION ALL\n".join(
+    f"SELECT l_orderkey, l_linenumber, '{n}' AS period_format, CAST(year(l_shipdate) AS INTEGER) AS year, "
+    f"CAST(month(l_shipdate) AS INTEGER) AS month FROM lineitem" for n in _PERIOD_FORMAT_NAMES
+)
+
+_TEXT_VARIANTS = {
+    "segment": "c_mktsegment",
+    "padded_lower": "'  ' || lower(c_mktsegment) || ' '",
+    "name": "c_name",
+    "blank": "''",
+    "spaces": "'   '",
+}
+ORACLE_SQL["canonical_text"] = (
+    "WITH v AS (" + " UNION ALL ".join(
+        f"SELECT c_custkey, '{k}' AS variant, {e} AS text FROM customer" for k, e in _TEXT_VARIANTS.items())
+    + ")\nSELECT c_custkey, variant, text, NULLIF(TRIM(text), '') AS cleaned, "
+      "UPPER(NULLIF(TRIM(text), '')) AS upper_text FROM v"
+)
+
+_NUMBER_VARIANTS = {
+    "plain": "plain",
+    "padded": "' ' || plain || '  '",
+    "thousands": r"regexp_replace(plain, '^([0-9]+)([0-9]{3})[.]', '\1,\2.')",
+    "exponent": "plain || 'e0'",
+    "garbage": "'n/a'",
+    "nan": "'NaN'",
+    "suffix_d": "plain || 'd'",
+}
+ORACLE_SQL["numeric_text"] = (
+    "WITH c AS (SELECT c_custkey, CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS plain FROM customer),\n"
+    "v AS (" + " UNION ALL ".join(
+        f"SELECT c_custkey, '{k}' AS variant, {e} AS text FROM c" for k, e in _NUMBER_VARIANTS.items())
+    + f")\nSELECT c_custkey, variant, text, CASE WHEN regexp_matches(replace(TRIM(text), ',', ''), "
+      f"'{PLAIN_NUMBER}') THEN TRY_CAST(replace(TRIM(text), ',', '') AS DOUBLE) END AS value FROM v"
+)
+
+# --- Silver partition derivation on the raw feed ------------------------------
+
+SILVER_FEED = """
+feed AS (
+  SELECT l.l_returnflag AS f, l.l_linestatus AS s, l.l_quantity AS q,
+         CAST(year(l.l_shipdate) AS INTEGER) AS y, CAST(month(l.l_shipdate) AS INTEGER) AS m
+  FROM lineitem l
+  JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation cn ON c.c_nationkey = cn.n_nationkey
+  JOIN supplier su ON l.l_suppkey = su.s_suppkey
+  JOIN nation sn ON su.s_nationkey = sn.n_nationkey
+),
+silver AS (
+  SELECT
+    CAST(CASE WHEN f = 'N' AND s = 'O' THEN (CASE WHEN q = 50 THEN y - 200 ELSE y END)
+              WHEN f = 'R' AND s = 'O' AND q = 49 THEN NULL ELSE y END AS INTEGER) AS year,
+    CAST(CASE WHEN f = 'N' AND s = 'F' AND q = 50 THEN 13
+              WHEN f = 'R' AND s = 'O' AND q = 49 THEN NULL ELSE m END AS INTEGER) AS month
+  FROM feed
+)"""
+
+ORACLE_SQL["silver_partition_counts"] = (
+    "WITH " + SILVER_FEED + "\nSELECT year, month, COUNT(*) AS row_count FROM silver GROUP BY year, month")
+ORACLE_SQL["invalid_partition_counts"] = "WITH " + SILVER_FEED + """
+SELECT COUNT(*) AS silver_rows,
+  COUNT(*) FILTER (WHERE year IS NULL OR month IS NULL OR month < 1 OR month > 12 OR year < 1900 OR year > 2100)
+    AS gate_invalid_rows,
+  COUNT(*) FILTER (WHERE year IS NULL OR month IS NULL OR month < 1 OR month > 12) AS quality_invalid_rows
+FROM silver"""
+
+# --- quality measures and the 22 checks --------------------------------------
+
+_DUPS = ("SELECT CAST(COALESCE(SUM(n), 0) AS BIGINT) AS row_count, "
+         "COUNT(*) FILTER (WHERE n > 1) AS duplicate_groups FROM (SELECT COUNT(*) AS n FROM {t} GROUP BY {k})")
+_RANK_BAD = "producer_rank IS NULL OR producer_rank < 1 OR producer_rank > 10"
+_FORMULA_BAD = ("abs((COALESCE(exports_value, 0) - COALESCE(imports_value, 0)) - COALESCE(trade_balance_value, 0))"
+                " > 1e-6")
+
+ORACLE_SQL["duplicate_month_keys"] = _with(_DUPS.format(t="monthly", k="metric_name, year, month"))
+ORACLE_SQL["duplicate_rank_keys"] = _with(_DUPS.format(t="top", k="year, month, producer_rank"))
+ORACLE_SQL["rank_range_violations"] = _with(
+    f"SELECT COUNT(*) AS row_count, COUNT(*) FILTER (WHERE {_RANK_BAD}) AS invalid_ranks FROM top")
+ORACLE_SQL["trade_formula_mismatches"] = _with(
+    f"SELECT COUNT(*) AS row_count, COUNT(*) FILTER (WHERE {_FORMULA_BAD}) AS mismatches FROM trade")
+
+
+def _cols(names: list[str]) -> str:
+    return "'[" + ", ".join(f"''{n}''" for n in sorted(names)) + "]'"
+
+
+_GOLD_COLUMNS = {
+    "gold_monthly_global_production": ("monthly", ["metric_name", "total_production", "year", "month"]),
+    "gold_country_production_trend": ("trend", ["country", "production_value", "year", "month"]),
+    "gold_top_producers_by_month": ("top", ["country", "production_value", "producer_rank", "year", "month"]),
+    "gold_trade_balance_by_country": ("trade", ["country", "imports_value", "exports_value",
+                                                "trade_balance_value", "year", "month"]),
+}
+
+
+def _status(ok: str) -> str:
+    return f"CASE WHEN {ok} THEN 'PASS' ELSE 'FAIL' END"
+
+
+def _quality_sql() -> str:
+    rows = [
+        "SELECT 'silver_readable' AS check_name, 'PASS' AS status, 'read_ok' AS actual",
+        f"SELECT 'silver_non_empty', {_status('n > 0')}, CAST(n AS VARCHAR) FROM sm",
+        f"SELECT 'silver_has_partition_columns', 'PASS', "
+        f"{_cols(['country', 'flow', 'product', 'unit', 'year', 'month', 'value'])}",
+        f"SELECT 'silver_valid_year_month_values', {_status('bad = 0')}, CAST(bad AS VARCHAR) FROM sm",
+        f"SELECT 'silver_has_partitions', {_status('parts > 0')}, CAST(parts AS VARCHAR) FROM sm",
+    ]
+    rows += [f"SELECT '{t}_readable', 'PASS', 'read_ok'" for t in _GOLD_COLUMNS]
+    rows.append("SELECT 'gold_tables_available', 'PASS', '4'")
+    for t, (view, cols) in _GOLD_COLUMNS.items():
+        rows.append(f"SELECT '{t}_non_empty', {_status('COUNT(*) > 0')}, CAST(COUNT(*) AS VARCHAR) FROM {view}")
+        rows.append(f"SELECT '{t}_has_partition_columns', 'PASS', {_cols(cols)}")
+    dm = _DUPS.format(t="monthly", k="metric_name, year, month")
+    dr = _DUPS.format(t="top", k="year, month, producer_rank")
+    rows += [
+        f"SELECT 'gold_monthly_global_production_unique_key', {_status('duplicate_groups = 0')}, "
+        f"CAST(duplicate_groups AS VARCHAR) FROM ({dm})",
+        f"SELECT 'gold_top_producers_rank_range', {_status('c = 0')}, CAST(c AS VARCHAR) "
+        f"FROM (SELECT COUNT(*) FILTER (WHERE {_RANK_BAD}) AS c FROM top)",
+        f"SELECT 'gold_top_producers_unique_rank_per_month', {_status('duplicate_groups = 0')}, "
+        f"CAST(duplicate_groups AS VARCHAR) FROM ({dr})",
+        f"SELECT 'gold_trade_balance_formula_consistent', {_status('c = 0')}, CAST(c AS VARCHAR) "
+        f"FROM (SELECT COUNT(*) FILTER (WHERE {_FORMULA_BAD}) AS c FROM trade)",
+    ]
+    sm = """,
+sm AS (
+  SELECT COUNT(*) AS n,
+         COUNT(*) FILTER (WHERE year IS NULL OR month IS NULL OR month < 1 OR month > 12) AS bad,
+         (SELECT COUNT(*) FROM (SELECT DISTINCT year, month FROM obs)) AS parts
+  FROM obs
+)"""
+    return "WITH " + BASE + sm + "\n" + "\nUNION ALL\n".join(rows)
+
+
+ORACLE_SQL["quality_checks"] = _quality_sql()

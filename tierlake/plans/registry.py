@@ -15,10 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.functions.flows import is_export, is_import, is_production
-from tierlake.functions.text import upper_text
-from tierlake.operators import gold
+from tierlake.functions.periods import period_struct
+from tierlake.functions.text import blank_to_null, parse_number, upper_text
+from tierlake.operators import gold, quality
+from tierlake.operators.silver import invalid_partition, to_silver
 from tierlake.plans import validation
-from tierlake.sources.observations import observations
+from tierlake.sources.observations import observations, raw_feed
+from tierlake.sources.tables import table
 
 EXACT_SCALE = 2
 # The validation month (the test data spans 1995-01 .. 2001-11).
@@ -94,6 +97,117 @@ def q_flow_classes(spark, d):
     )
 
 
+# Period spellings for the parse round trip (Spark datetime patterns).
+PERIOD_FORMATS = {
+    "dash_month": "yyyy-MM",
+    "slash_short_month": "yyyy/M",
+    "compact": "yyyyMM",
+    "abbr_name_year": "MMM yyyy",
+    "year_full_name": "yyyy MMMM",
+    "timestamp": "yyyy-MM-dd HH:mm:ss",
+    "dotted_date": "yyyy.MM.dd",
+}
+
+
+def q_period_parse(spark, d):
+    """Every ship date spelled 7 ways and parsed back to (year, month)."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    spelled = F.array(*[
+        F.struct(F.lit(name).alias("period_format"), F.date_format("l_shipdate", fmt).alias("period_text"))
+        for name, fmt in PERIOD_FORMATS.items()
+    ])
+    rows = li.select("l_orderkey", "l_linenumber", F.inline(spelled))
+    ym = period_struct("period_text")
+    return rows.select("l_orderkey", "l_linenumber", "period_format",
+                       ym.getField("year").alias("year"), ym.getField("month").alias("month"))
+
+
+def _text_variants(spark, d):
+    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
+    plain = c["c_acctbal"].cast("decimal(18,2)").cast("string")
+    texts = {
+        "segment": F.col("c_mktsegment"),
+        "padded_lower": F.concat(F.lit("  "), F.lower("c_mktsegment"), F.lit(" ")),
+        "name": F.col("c_name"),
+        "blank": F.lit(""),
+        "spaces": F.lit("   "),
+    }
+    numbers = {
+        "plain": plain,
+        "padded": F.concat(F.lit(" "), plain, F.lit("  ")),
+        "thousands": F.regexp_replace(plain, r"^([0-9]+)([0-9]{3})[.]", "$1,$2."),
+        "exponent": F.concat(plain, F.lit("e0")),
+        "garbage": F.lit("n/a"),
+        "nan": F.lit("NaN"),
+        "suffix_d": F.concat(plain, F.lit("d")),
+    }
+    return c, texts, numbers
+
+
+def _variants(c, mapping):
+    arr = F.array(*[F.struct(F.lit(k).alias("variant"), v.alias("text")) for k, v in mapping.items()])
+    return c.select("c_custkey", F.inline(arr))
+
+
+def q_canonical_text(spark, d):
+    c, texts, _ = _text_variants(spark, d)
+    return _variants(c, texts).select("c_custkey", "variant", "text", blank_to_null("text").alias("cleaned"),
+                                      upper_text("text").alias("upper_text"))
+
+
+def q_numeric_text(spark, d):
+    c, _, numbers = _text_variants(spark, d)
+    return _variants(c, numbers).select("c_custkey", "variant", "text", parse_number("text").alias("value"))
+
+
+def _silver_feed(spark, d):
+    return to_silver(raw_feed(spark, d))
+
+
+def q_silver_partition_counts(spark, d):
+    return _silver_feed(spark, d).groupBy("year", "month").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def q_invalid_partition_counts(spark, d):
+    return _silver_feed(spark, d).agg(
+        F.count(F.lit(1)).alias("silver_rows"),
+        F.count_if(invalid_partition()).alias("gate_invalid_rows"),
+        F.count_if(invalid_partition(check_year_range=False)).alias("quality_invalid_rows"),
+    )
+
+
+def _gold(spark, d):
+    return gold.gold_tables(_cube(spark, d))
+
+
+def q_duplicate_month_keys(spark, d):
+    m = quality.grouped_measures(_gold(spark, d)["gold_monthly_global_production"], ["metric_name", "year", "month"])
+    return m.select(F.col("rows").alias("row_count"), F.col("dup_groups").alias("duplicate_groups"))
+
+
+def q_duplicate_rank_keys(spark, d):
+    m = quality.grouped_measures(_gold(spark, d)["gold_top_producers_by_month"], ["year", "month", "producer_rank"])
+    return m.select(F.col("rows").alias("row_count"), F.col("dup_groups").alias("duplicate_groups"))
+
+
+def q_rank_range_violations(spark, d):
+    top = _gold(spark, d)["gold_top_producers_by_month"]
+    return top.agg(F.count(F.lit(1)).alias("row_count"),
+                   F.count_if(quality.rank_out_of_range()).alias("invalid_ranks"))
+
+
+def q_trade_formula_mismatches(spark, d):
+    trade = _gold(spark, d)["gold_trade_balance_by_country"]
+    return trade.agg(F.count(F.lit(1)).alias("row_count"),
+                     F.count_if(quality.formula_mismatch()).alias("mismatches"))
+
+
+def q_quality_checks(spark, d):
+    """The 22 checks over Silver (the observation feed) and the derived Gold tables."""
+    checks = quality.checks_for_frames(spark, observations(spark, d), _gold(spark, d))
+    return checks.select("check_name", "status", "actual")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "monthly_global_production": q_monthly_global_production,
     "country_production_trend": q_country_production_trend,
@@ -108,4 +222,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "production_sum_all": q_production_sum_all,
     "gold_row_counts": q_gold_row_counts,
     "flow_classes": q_flow_classes,
+    "period_parse": q_period_parse,
+    "canonical_text": q_canonical_text,
+    "numeric_text": q_numeric_text,
+    "silver_partition_counts": q_silver_partition_counts,
+    "invalid_partition_counts": q_invalid_partition_counts,
+    "duplicate_month_keys": q_duplicate_month_keys,
+    "duplicate_rank_keys": q_duplicate_rank_keys,
+    "rank_range_violations": q_rank_range_violations,
+    "trade_formula_mismatches": q_trade_formula_mismatches,
+    "quality_checks": q_quality_checks,
 }

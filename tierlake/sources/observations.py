@@ -79,7 +79,7 @@ def trade_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-        "l_discount", "l_returnflag", "l_shipdate",
+        "l_discount", "l_returnflag", "l_linestatus", "l_shipdate",
     )
     return (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -114,3 +114,63 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.month("l_shipdate").alias("month"),
         value_text(F.col("l_extendedprice"), F.col("l_discount"), F.col("l_quantity"), F.col("l_returnflag")).alias("value"),
     )
+
+
+def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw-file-shaped text rows (as a CSV read would give them) for the Silver path.
+
+    One production row per line item with source-style headers (``Ref
+    Area``, ``Energy Product``, ``FLOW_BREAKDOWN``, ``Unit``, ``Year``,
+    ``Month``, ``TIME_PERIOD``, ``OBS_VALUE``) and a ``source_file_name``.
+    The period is spelled differently per (return flag, line status):
+
+    * ``N/O``: Year + numeric Month; quantity 50 shifts the year back 200
+      years (passes the quality check, fails the Silver gate);
+    * ``N/F``: Year + month name (``Jun``, ``Sept`` for September);
+      quantity 50 gives month ``13``;
+    * ``R/O``: ``TIME_PERIOD`` ``yyyy-MM``; quantity 49 gives ``Q2 yyyy``
+      (no period anywhere: an invalid row);
+    * ``R/F``: ``TIME_PERIOD`` ``MMMM yyyy``;
+    * ``A/O``: Year ``x`` (unusable) and ``TIME_PERIOD`` ``yyyy/MM/dd``;
+    * ``A/F``: nothing but the file name ``…/yyyyMM.csv``.
+    """
+    lines = trade_lines(spark, sf_dir)
+    flag, status, qty = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_quantity")
+    d = F.col("l_shipdate")
+
+    def combo(f: str, s: str) -> Column:
+        return (flag == f) & (status == s)
+
+    y = F.year(d)
+    year_text = (
+        F.when(combo("N", "O"), F.when(qty == 50, y - 200).otherwise(y).cast("string"))
+        .when(combo("N", "F"), y.cast("string"))
+        .when(combo("A", "O"), F.lit("x"))
+        .otherwise(F.lit(""))
+    )
+    month_name = F.when(F.month(d) == 9, F.lit("Sept")).otherwise(F.date_format(d, "MMM"))
+    month_text = (
+        F.when(combo("N", "O"), F.month(d).cast("string"))
+        .when(combo("N", "F"), F.when(qty == 50, F.lit("13")).otherwise(month_name))
+        .otherwise(F.lit(""))
+    )
+    period_text = (
+        F.when(combo("R", "O"), F.when(qty == 49, F.concat(F.lit("Q2 "), y.cast("string")))
+               .otherwise(F.date_format(d, "yyyy-MM")))
+        .when(combo("R", "F"), F.date_format(d, "MMMM yyyy"))
+        .when(combo("A", "O"), F.date_format(d, "yyyy/MM/dd"))
+        .otherwise(F.lit(""))
+    )
+    file_name = F.when(combo("A", "F"), F.concat(F.lit("file:/lake/raw/"), F.date_format(d, "yyyyMM"), F.lit(".csv"))) \
+        .otherwise(F.concat(F.lit("file:/lake/raw/feed-"), F.lower(F.col("o_orderpriority")), F.lit(".csv")))
+    return lines.select(
+        F.col("supp_nation").alias("Ref Area"),
+        F.concat(F.lit("PART#"), F.col("l_partkey").cast("string")).alias("Energy Product"),
+        F.lit("Production").alias("FLOW_BREAKDOWN"),
+        F.lit("USD").alias("Unit"),
+        year_text.alias("Year"),
+        month_text.alias("Month"),
+        period_text.alias("TIME_PERIOD"),
+        value_text(F.col("l_extendedprice"), F.col("l_discount"), F.col("l_quantity"), flag).alias("OBS_VALUE"),
+        file_name.alias("source_file_name"),
+    )
