@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.functions.columns import normalize_columns
-from tierlake.functions.periods import partition_columns
+from tierlake.functions.periods import with_partition_columns
 from tierlake.sources.raw_csv import FILE_COLUMN, read_raw_csv
 
 MIN_YEAR, MAX_YEAR = 1900, 2100
@@ -35,8 +35,7 @@ def to_silver(raw: DataFrame) -> DataFrame:
     if FILE_COLUMN not in df.columns:
         df = df.withColumn(FILE_COLUMN, F.col("_metadata.file_path"))
     df = df.withColumn(INGESTED_COLUMN, F.current_timestamp())
-    year, month = partition_columns(df.columns, FILE_COLUMN)
-    return df.withColumns({"year": year, "month": month})
+    return with_partition_columns(df, FILE_COLUMN)
 
 
 def invalid_partition(year: Column | str = "year", month: Column | str = "month",

@@ -20,9 +20,11 @@ more carry a thousands comma and ``N``-flag values are padded. Every row
 keeps its real value; the Gold rules decide what counts.
 
 Plan at scale: ``orders ⋈ customer`` first (orders shuffled by customer
-key), then ``lineitem ⋈ orders`` on the order key (one shuffle of the fact
-table), then ``⋈ supplier`` (broadcast only while supplier is within a
-checked row bound, else a shuffle join). Nations are a fixed 25-row
+key), then ``lineitem ⋈ orders`` as a sort-merge join on the order key (one
+shuffle of the fact table; orders grow with it, so they are never
+broadcast, and AQE's skew-join handling splits a hot order key), then
+``⋈ supplier`` (broadcast only while supplier is within a checked row
+bound, else a shuffle join). Nations are a fixed 25-row
 dimension. All observation rows of a line come from one ``inline`` over a
 small array, so the fact table is scanned once, not once per flow.
 """
@@ -81,8 +83,10 @@ def trade_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_discount", "l_returnflag", "l_linestatus", "l_shipdate",
     )
+    # Orders grow with the fact table: always a shuffle (sort-merge) join on the
+    # order key, never a broadcast; AQE splits the partition of a hot key.
     return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     )
 
