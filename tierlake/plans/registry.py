@@ -29,12 +29,15 @@ EXACT_SCALE = 2
 CHECK_YEAR, CHECK_MONTH = 1998, 6
 
 
-def _base(spark: SparkSession, d: str) -> DataFrame:
-    return gold.base_frame(observations(spark, d))
+def _base(spark: SparkSession, d: str, period: tuple[int, int] | None = None) -> DataFrame:
+    return gold.base_frame(observations(spark, d, period))
 
 
-def _cube(spark: SparkSession, d: str) -> DataFrame:
-    return gold.flow_cube(_base(spark, d), exact_scale=EXACT_SCALE)
+def _cube(spark: SparkSession, d: str, period: tuple[int, int] | None = None) -> DataFrame:
+    return gold.flow_cube(_base(spark, d, period), exact_scale=EXACT_SCALE)
+
+
+CHECK_PERIOD = (CHECK_YEAR, CHECK_MONTH)
 
 
 def q_monthly_global_production(spark, d):
@@ -57,24 +60,32 @@ def q_trade_balance_single_pass(spark, d):
     return gold.trade_balance_by_country(_cube(spark, d))
 
 
+# Month-scoped validation: the month reaches the fact scan as a ship-date
+# range (the feed's counterpart of partition pruning on stored Gold tables).
+
 def q_production_one_month(spark, d):
-    return validation.production_for_month(q_monthly_global_production(spark, d), CHECK_YEAR, CHECK_MONTH)
+    monthly = gold.monthly_global_production(_cube(spark, d, CHECK_PERIOD))
+    return validation.production_for_month(monthly, CHECK_YEAR, CHECK_MONTH)
 
 
 def q_trend_top50_month(spark, d):
-    return validation.trend_top_for_month(q_country_production_trend(spark, d), CHECK_YEAR, CHECK_MONTH)
+    trend = gold.country_production_trend(_cube(spark, d, CHECK_PERIOD))
+    return validation.trend_top_for_month(trend, CHECK_YEAR, CHECK_MONTH)
 
 
 def q_top_producers_month(spark, d):
-    return validation.top_producers_for_month(q_top_producers_by_month(spark, d), CHECK_YEAR, CHECK_MONTH)
+    top = gold.top_producers_by_month(gold.country_production_trend(_cube(spark, d, CHECK_PERIOD)))
+    return validation.top_producers_for_month(top, CHECK_YEAR, CHECK_MONTH)
 
 
 def q_trade_top50_abs_month(spark, d):
-    return validation.trade_top_abs_for_month(q_trade_balance_single_pass(spark, d), CHECK_YEAR, CHECK_MONTH)
+    trade = gold.trade_balance_by_country(_cube(spark, d, CHECK_PERIOD))
+    return validation.trade_top_abs_for_month(trade, CHECK_YEAR, CHECK_MONTH)
 
 
 def q_production_sum_filtered(spark, d):
-    return validation.production_sum(q_monthly_global_production(spark, d), CHECK_YEAR, CHECK_MONTH, EXACT_SCALE)
+    monthly = gold.monthly_global_production(_cube(spark, d, CHECK_PERIOD))
+    return validation.production_sum(monthly, CHECK_YEAR, CHECK_MONTH, EXACT_SCALE)
 
 
 def q_production_sum_all(spark, d):

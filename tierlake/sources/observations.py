@@ -55,8 +55,20 @@ def value_text(price: Column, discount: Column, quantity: Column, returnflag: Co
     )
 
 
-def trade_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item with supplier and customer nation attached."""
+def ship_month_range(year: int, month: int) -> Column:
+    """``l_shipdate`` in one calendar month, as a half-open range of literals:
+    unlike ``year(l_shipdate) = y`` it reaches the parquet reader as a pushed
+    filter, so row groups of other months are skipped."""
+    ny, nm = (year + 1, 1) if month == 12 else (year, month + 1)
+    lo = F.lit(f"{year:04d}-{month:02d}-01 00:00:00").cast("timestamp_ntz")
+    hi = F.lit(f"{ny:04d}-{nm:02d}-01 00:00:00").cast("timestamp_ntz")
+    d = F.col("l_shipdate")
+    return (d >= lo) & (d < hi)
+
+
+def trade_lines(spark: SparkSession, sf_dir: str, period: tuple[int, int] | None = None) -> DataFrame:
+    """One row per line item with supplier and customer nation attached
+    (only ship month ``period = (year, month)`` when given)."""
     nation = broadcast_if_bounded(
         table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), NATION_MAX_ROWS
     )
@@ -83,17 +95,23 @@ def trade_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_discount", "l_returnflag", "l_linestatus", "l_shipdate",
     )
-    # Orders grow with the fact table: always a shuffle (sort-merge) join on the
-    # order key, never a broadcast; AQE splits the partition of a hot key.
+    if period is not None:
+        lines = lines.where(ship_month_range(*period))
+    # Orders grow with the fact table: the fact join is always a shuffle
+    # (sort-merge) join on the order key, never a broadcast of orders, and
+    # AQE splits the partition of a hot order key.
     return (
         lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     )
 
 
-def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver-shaped observations: text roles, int ``year``/``month`` partitions."""
-    lines = trade_lines(spark, sf_dir)
+def observations(spark: SparkSession, sf_dir: str, period: tuple[int, int] | None = None) -> DataFrame:
+    """Silver-shaped observations: text roles, int ``year``/``month`` partitions.
+
+    ``period = (year, month)`` restricts the feed to one month the way a
+    partition filter restricts a Silver scan."""
+    lines = trade_lines(spark, sf_dir, period)
     supp_country = F.when(F.col("s_acctbal") < 0, F.lit("")).otherwise(F.col("supp_nation"))
     cust_country = F.concat(F.col("cust_nation"), F.lit(" "))
     produced = (
