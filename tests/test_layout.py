@@ -63,3 +63,12 @@ def test_month_filter_reads_one_file(spark, tmp_dir):
     one = df.where("year = 2023 AND month = 6").select(F.col("_metadata.file_path")).distinct().count()
     every = df.select(F.col("_metadata.file_path")).distinct().count()
     assert (one, every) == (1, 12)
+
+
+def test_salted_write_keeps_rows_with_null_partition(spark, tmp_dir):
+    df = _frame(spark, 100).unionByName(
+        spark.range(50).select(F.lit(None).cast("int").alias("year"), F.lit(None).cast("int").alias("month"),
+                               F.col("id").cast("double").alias("value")))
+    write_partitioned(df, f"{tmp_dir}/nulls", files_per_partition=3)
+    back = spark.read.parquet(f"{tmp_dir}/nulls")
+    assert back.count() == 1250 and back.where("year IS NULL").count() == 50

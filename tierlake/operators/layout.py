@@ -60,9 +60,11 @@ def write_partitioned(df: DataFrame, path: str, stats: list[tuple[int, int, int]
     else:
         salts = F.broadcast(spark.createDataFrame(plan, "year int, month int, _salts int"))
         row_hash = F.xxhash64(*[F.col(c) for c in cols if c not in PARTITION_COLUMNS])
+        # Left join: a row whose partition is missing from the stats (or is
+        # NULL, which an equi-join never matches) keeps one salt, never drops.
         out = (
-            df.join(salts, list(PARTITION_COLUMNS))
-            .withColumn("_salt", F.pmod(row_hash, F.col("_salts")))
+            df.join(salts, list(PARTITION_COLUMNS), "left")
+            .withColumn("_salt", F.pmod(row_hash, F.coalesce(F.col("_salts"), F.lit(1))))
             .repartition(total, *PARTITION_COLUMNS, "_salt")
             .select(*cols)
         )
