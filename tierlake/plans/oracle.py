@@ -285,3 +285,28 @@ sm AS (
 
 
 ORACLE_SQL["quality_checks"] = _quality_sql()
+
+# CSV round trip: the feed's file names are gone (Spark names the files), so
+# lines whose only period was the file name have no year/month.
+ORACLE_SQL["silver_csv_roundtrip"] = """
+WITH feed AS (
+  SELECT l.l_returnflag AS f, l.l_linestatus AS s, l.l_quantity AS q, l.l_discount, l.l_extendedprice,
+         CAST(year(l.l_shipdate) AS INTEGER) AS y, CAST(month(l.l_shipdate) AS INTEGER) AS m
+  FROM lineitem l
+  JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation cn ON c.c_nationkey = cn.n_nationkey
+  JOIN supplier su ON l.l_suppkey = su.s_suppkey
+  JOIN nation sn ON su.s_nationkey = sn.n_nationkey
+),
+silver AS (
+  SELECT
+    CAST(CASE WHEN f = 'N' AND s = 'O' THEN (CASE WHEN q = 50 THEN y - 200 ELSE y END)
+              WHEN (f = 'R' AND s = 'O' AND q = 49) OR (f = 'A' AND s = 'F') THEN NULL ELSE y END AS INTEGER) AS year,
+    CAST(CASE WHEN f = 'N' AND s = 'F' AND q = 50 THEN 13
+              WHEN (f = 'R' AND s = 'O' AND q = 49) OR (f = 'A' AND s = 'F') THEN NULL ELSE m END AS INTEGER) AS month,
+    CASE WHEN l_discount = 0 THEN NULL ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END AS value
+  FROM feed
+)
+SELECT year, month, COUNT(*) AS row_count, CAST(SUM(value) AS DOUBLE) AS value_total
+FROM silver GROUP BY year, month"""

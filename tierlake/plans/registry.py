@@ -179,6 +179,32 @@ def q_silver_partition_counts(spark, d):
     return _silver_feed(spark, d).groupBy("year", "month").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def q_silver_csv_roundtrip(spark, d):
+    """Raw feed -> CSV files with two header layouts -> Silver -> counts and totals per month.
+
+    Lines with a ``Year`` text are written with the feed's column order, the
+    others with the reverse order plus an extra column, into one folder under
+    the shared checkpoint folder. Reading them back must map values by
+    header name. Spark names the files ``part-…csv``, so rows whose only
+    period was the file name have none.
+    """
+    import uuid
+
+    from tierlake.sources.raw_csv import read_raw_csv
+
+    feed = raw_feed(spark, d).drop("source_file_name")
+    raw_dir = f"{checkpoint_dir(spark).rstrip('/')}/tierlake-raw-{uuid.uuid4().hex}"
+    cols = feed.columns
+    has_year = F.col("Year") != ""
+    feed.where(has_year).select(*cols).write.option("header", True).mode("append").csv(raw_dir)
+    feed.where(~has_year).select(*reversed(cols), F.lit("n/a").alias("Note")) \
+        .write.option("header", True).mode("append").csv(raw_dir)
+    silver = to_silver(read_raw_csv(spark, raw_dir))
+    value = parse_number("obs_value").cast(f"decimal(28,{EXACT_SCALE})")
+    return silver.groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum(value).cast("double").alias("value_total"))
+
+
 def q_invalid_partition_counts(spark, d):
     return _silver_feed(spark, d).agg(
         F.count(F.lit(1)).alias("silver_rows"),
@@ -246,6 +272,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "numeric_text": q_numeric_text,
     "silver_partition_counts": q_silver_partition_counts,
     "invalid_partition_counts": q_invalid_partition_counts,
+    "silver_csv_roundtrip": q_silver_csv_roundtrip,
     "duplicate_month_keys": q_duplicate_month_keys,
     "duplicate_rank_keys": q_duplicate_rank_keys,
     "rank_range_violations": q_rank_range_violations,
