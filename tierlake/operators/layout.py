@@ -25,6 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PARTITION_COLUMNS = ("year", "month")
+# Default cap per file (and so per write task): a month larger than this is
+# spread over several tasks instead of landing whole in one.
+DEFAULT_MAX_ROWS_PER_FILE = 5_000_000
 
 
 def partition_counts(df: DataFrame) -> list[tuple[int, int, int]]:
@@ -41,11 +44,12 @@ def salts_for(rows: int, files_per_partition: int, max_rows_per_file: int | None
 
 
 def write_partitioned(df: DataFrame, path: str, stats: list[tuple[int, int, int]] | None = None,
-                      files_per_partition: int = 1, max_rows_per_file: int | None = None,
+                      files_per_partition: int = 1, max_rows_per_file: int | None = DEFAULT_MAX_ROWS_PER_FILE,
                       dynamic: bool = True) -> int:
     """Write ``df`` partitioned by year/month; returns the number of write tasks.
 
     ``dynamic=True`` replaces only the partitions present in ``df``.
+    ``max_rows_per_file=None`` gives exactly the ``files_per_partition`` plan.
     """
     if stats is None:
         stats = partition_counts(df)

@@ -92,7 +92,7 @@ def check_gate(silver: DataFrame, summary: SilverSummary) -> None:
 
 
 def build_silver(spark: SparkSession, raw_uri: str, silver_uri: str, files_per_partition: int = 1,
-                 max_rows_per_file: int | None = None, full_refresh: bool = False) -> SilverSummary:
+                 max_rows_per_file: int | None = 5_000_000, full_refresh: bool = False) -> SilverSummary:
     """Raw CSV prefix -> Silver parquet partitioned by ``year``/``month``.
 
     Two passes over the raw files: a column-pruned stats pass (gate +

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 from tierlake.operators import gold as G
-from tierlake.operators.layout import partition_counts, write_partitioned
+from tierlake.operators.layout import DEFAULT_MAX_ROWS_PER_FILE, partition_counts, write_partitioned
 from tierlake.operators.quality import QualityResult, derive_reports_uri, run_quality
 from tierlake.operators.silver import SilverSummary, build_silver
 from tierlake.plans.catalog import register_tables
@@ -20,7 +20,7 @@ from tierlake.session import checkpoint_dir
 
 
 def run_silver(spark: SparkSession, raw_uri: str, silver_uri: str, files_per_partition: int = 1,
-               max_rows_per_file: int | None = None, full_refresh: bool = False) -> SilverSummary:
+               max_rows_per_file: int | None = DEFAULT_MAX_ROWS_PER_FILE, full_refresh: bool = False) -> SilverSummary:
     return build_silver(spark, raw_uri, silver_uri, files_per_partition, max_rows_per_file, full_refresh)
 
 

@@ -83,16 +83,15 @@ def parse_header(line: str, sep: str = ",") -> list[str]:
 def read_raw_csv(spark: SparkSession, raw_uri: str, sep: str = ",") -> DataFrame:
     """All raw files as one all-string DataFrame with normalised column names
     and ``source_file_name`` (full file URI)."""
-    groups = (
-        file_headers(spark, raw_uri)
-        .groupBy("header")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
-        .collect()
-    )
-    groups = sorted(groups, key=lambda r: r["paths"][0])
+    # (path, header) per file: the same list the driver's file index holds to
+    # plan any scan of these files; grouped here, not in one task.
+    by_header: dict[str, list[str]] = {}
+    for r in file_headers(spark, raw_uri).collect():
+        by_header.setdefault(r["header"], []).append(r["path"])
+    groups = sorted(((h, sorted(p)) for h, p in by_header.items()), key=lambda g: g[1][0])
     parts: list[DataFrame] = []
-    for g in groups:
-        names = parse_header(g["header"], sep)
+    for header, paths in groups:
+        names = parse_header(header, sep)
         if not names:
             continue
         schema = StructType([StructField(f"_c{i}", StringType()) for i in range(len(names))])
@@ -101,7 +100,7 @@ def read_raw_csv(spark: SparkSession, raw_uri: str, sep: str = ",") -> DataFrame
             .option("header", True)
             .option("sep", sep)
             .option("mode", "PERMISSIVE")
-            .csv(list(g["paths"]))
+            .csv(paths)
         )
         normalized = unique_normalized_names(names)
         cols = [F.col(f"_c{i}").alias(n) for i, n in enumerate(normalized) if n != FILE_COLUMN]
