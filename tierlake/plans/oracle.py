@@ -310,3 +310,10 @@ silver AS (
 )
 SELECT year, month, COUNT(*) AS row_count, CAST(SUM(value) AS DOUBLE) AS value_total
 FROM silver GROUP BY year, month"""
+
+# The same validation statements run as SQL text in Spark (views over Gold).
+ORACLE_SQL["sql_top_producers_month"] = ORACLE_SQL["top_producers_month"]
+ORACLE_SQL["sql_trade_top50_abs_month"] = ORACLE_SQL["trade_top50_abs_month"]
+ORACLE_SQL["sql_production_sum_filtered"] = _with(
+    f"SELECT SUM(total_production) AS total_production_sum FROM monthly WHERE {M}")
+ORACLE_SQL["sql_gold_row_counts"] = ORACLE_SQL["gold_row_counts"]

@@ -247,6 +247,29 @@ def q_trade_formula_mismatches(spark, d):
                      F.count_if(quality.formula_mismatch()).alias("mismatches"))
 
 
+def _sql_month(spark, d, template: str) -> DataFrame:
+    """A validation statement as SQL text, over views of the month's Gold tables."""
+    db = validation.register_views(spark, gold.gold_tables(_cube(spark, d, CHECK_PERIOD)))
+    return spark.sql(template.format(db=db, year=CHECK_YEAR, month=CHECK_MONTH))
+
+
+def q_sql_top_producers_month(spark, d):
+    return _sql_month(spark, d, validation.TOP_PRODUCERS_FOR_MONTH_SQL)
+
+
+def q_sql_trade_top50_abs_month(spark, d):
+    return _sql_month(spark, d, validation.TRADE_TOP_ABS_FOR_MONTH_SQL)
+
+
+def q_sql_production_sum_filtered(spark, d):
+    return _sql_month(spark, d, validation.PRODUCTION_SUM_FILTERED_SQL)
+
+
+def q_sql_gold_row_counts(spark, d):
+    db = validation.register_views(spark, _gold_materialized(spark, d))
+    return spark.sql(validation.row_counts_sql(db))
+
+
 def q_quality_checks(spark, d):
     """The 22 checks over Silver (the observation feed) and the derived Gold tables."""
     checks = quality.checks_for_frames(spark, observations(spark, d), _gold_materialized(spark, d))
@@ -273,6 +296,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_partition_counts": q_silver_partition_counts,
     "invalid_partition_counts": q_invalid_partition_counts,
     "silver_csv_roundtrip": q_silver_csv_roundtrip,
+    "sql_top_producers_month": q_sql_top_producers_month,
+    "sql_trade_top50_abs_month": q_sql_trade_top50_abs_month,
+    "sql_production_sum_filtered": q_sql_production_sum_filtered,
+    "sql_gold_row_counts": q_sql_gold_row_counts,
     "duplicate_month_keys": q_duplicate_month_keys,
     "duplicate_rank_keys": q_duplicate_rank_keys,
     "rank_range_violations": q_rank_range_violations,

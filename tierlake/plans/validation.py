@@ -161,3 +161,12 @@ def run_validation(spark, db: str, year: int, month: int, output_uri: str | None
         for name, df in results.items():
             df.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{output_uri.rstrip('/')}/{name}")
     return results
+
+
+def register_views(spark, tables: dict[str, DataFrame]) -> str:
+    """Expose Gold DataFrames as global temporary views under their table
+    names, so the catalog SQL above runs unchanged; returns the view database."""
+    db = spark.conf.get("spark.sql.globalTempDatabase", "global_temp")
+    for name, df in tables.items():
+        df.createOrReplaceGlobalTempView(name)
+    return db
