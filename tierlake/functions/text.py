@@ -31,7 +31,7 @@ def upper_text(c: Column | str) -> Column:
 
 def number_text(c: Column | str) -> Column:
     """Trimmed text with thousands commas removed."""
-    return F.regexp_replace(F.trim(as_text(c)), ",", "")
+    return F.replace(F.trim(as_text(c)), F.lit(","), F.lit(""))
 
 
 def parse_number(c: Column | str) -> Column:
