@@ -74,3 +74,11 @@ def test_literal_alternation_equals_rlike(spark, pattern):
     a = df.select(matches("u", pattern).alias("m")).collect()
     b = df.select(F.col("u").rlike(pattern).alias("m")).collect()
     assert a == b
+
+
+def test_is_number_matches_parse(spark):
+    from tierlake.functions.text import is_number
+    vals = ["1,234", " 12.5 ", "-3", "1e3", "-", "", "x", "(3)", "NaN", "Infinity", "12d", None, ".5", "+7.", "1e400"]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    rows = df.select(is_number("v").alias("a"), parse_number("v").isNotNull().alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in rows)

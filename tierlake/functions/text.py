@@ -34,6 +34,12 @@ def number_text(c: Column | str) -> Column:
     return F.replace(F.trim(as_text(c)), F.lit(","), F.lit(""))
 
 
+def is_number(c: Column | str) -> Column:
+    """True when the cleaned text is a plain number, i.e. exactly when
+    :func:`parse_number` is not NULL (every such text casts to a double)."""
+    return F.coalesce(number_text(c).rlike(PLAIN_NUMBER), F.lit(False))
+
+
 def parse_number(c: Column | str) -> Column:
     """Text to double; NULL unless the cleaned text is a plain number."""
     t = number_text(c)
