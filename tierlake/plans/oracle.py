@@ -1,7 +1,7 @@
 """DuckDB SQL equivalents of the registered queries (the correctness oracle).
 
 Written independently of the Spark code: plain SQL over the driver's
-tables, ``UNION ALL`` for the observation rows, ``JOIN`` for the reference's
+tables, ``UNION ALL`` for the observation rows, ``JOIN`` for the source jobs'
 full-outer trade balance. Types are cast to the Spark result types
 (``INTEGER`` year/month/rank, ``DOUBLE`` measures, ``BIGINT`` counts).
 """
