@@ -72,3 +72,12 @@ def test_salted_write_keeps_rows_with_null_partition(spark, tmp_dir):
     write_partitioned(df, f"{tmp_dir}/nulls", files_per_partition=3)
     back = spark.read.parquet(f"{tmp_dir}/nulls")
     assert back.count() == 1250 and back.where("year IS NULL").count() == 50
+
+
+def test_stale_stats_are_detected(spark, tmp_dir):
+    import pytest
+    df = _frame(spark, 10)
+    stats = [(2023, m, 10) for m in range(1, 13)]
+    stats[0] = (2023, 1, 9)
+    with pytest.raises(RuntimeError, match="Wrote 120 rows"):
+        write_partitioned(df, f"{tmp_dir}/stale", stats)

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 PARTITION_COLUMNS = ("year", "month")
@@ -72,6 +72,10 @@ def write_partitioned(df: DataFrame, path: str, stats: list[tuple[int, int, int]
             .repartition(total, *PARTITION_COLUMNS, "_salt")
             .select(*cols)
         )
+    # Count what the write actually sees (a counter in the write stage, no
+    # extra pass) and compare it with the stats the plan was sized from.
+    observed = Observation("tierlake_write")
+    out = out.observe(observed, F.count(F.lit(1)).alias("rows"))
     writer = (
         out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
@@ -80,6 +84,11 @@ def write_partitioned(df: DataFrame, path: str, stats: list[tuple[int, int, int]
     if max_rows_per_file:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)
     writer.parquet(path.rstrip("/"))
+    written = observed.get["rows"]
+    expected = sum(n for _, _, n in stats)
+    if written != expected:
+        raise RuntimeError(f"Wrote {written} rows to {path} but the partition stats counted {expected}; "
+                           "the input changed between the two passes.")
     return total
 
 
