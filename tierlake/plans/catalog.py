@@ -72,6 +72,8 @@ def ddl(db: str, silver_uri: str, gold_uri: str, silver_table: str = SILVER_TABL
 
 def register_tables(spark: SparkSession, db: str, silver_uri: str, gold_uri: str,
                     silver_table: str = SILVER_TABLE) -> list[str]:
+    """Run :func:`ddl`. Call it after the layers are written: ``MSCK REPAIR
+    TABLE`` lists each table location, which must exist."""
     stmts = ddl(db, silver_uri, gold_uri, silver_table)
     for s in stmts:
         spark.sql(s)
