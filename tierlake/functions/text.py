@@ -47,9 +47,13 @@ def parse_number(c: Column | str) -> Column:
 
 
 def parse_int(c: Column | str) -> Column:
-    """Text to int, also accepting a number with a fraction (truncated)."""
+    """Text to int, also accepting a number with a fraction (truncated).
+
+    Casts are guarded by a pattern test so that blank or junk text never
+    reaches the cast (a failed cast costs a caught exception per row)."""
     t = F.trim(as_text(c))
-    return F.coalesce(t.try_cast("int"), parse_number(t).try_cast("int"))
+    whole = F.when(t.rlike(r"^[+-]?[0-9]+$"), t.try_cast("int"))
+    return F.coalesce(whole, parse_number(t).try_cast("int"))
 
 
 def truncate_text(c: Column | str, n: int = 1000) -> Column:
