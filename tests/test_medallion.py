@@ -49,6 +49,7 @@ def test_round_trip(spark, lake):
     raw, silver, gold = str(lake / "raw"), str(lake / "silver"), str(lake / "gold")
     s = medallion.run_silver(spark, raw, silver)
     assert (s.rows, s.partitions, s.invalid_rows) == (9, 3, 0)
+    assert not s.month_aligned  # a.csv holds June and July: the write shuffles
     sdf = spark.read.parquet(silver)
     assert {"country", "value", "extra_col", "source_file_name", "ingested_at_utc", "year", "month"} <= set(sdf.columns)
     # header drift: values mapped by name, not position
@@ -92,3 +93,23 @@ def test_gate_blocks_write(spark, tmp_path):
     with pytest.raises(SilverGateError, match="Invalid rows: 2"):
         medallion.run_silver(spark, str(raw), str(tmp_path / "silver"))
     assert not (tmp_path / "silver").exists()
+
+
+def test_monthly_files_are_written_without_a_shuffle(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    for month in (1, 2, 3):
+        _write(raw / f"2024{month:02d}.csv", "Country,Product,Flow,Unit,Value",
+               [(c, "Crude", "Production", "KBD", str(i)) for i, c in enumerate("ABCDEFGH")])
+    _write(raw / "extra.csv", HEADER_C, [("9", "3", "2024", "KBD", "Exports", "Crude", "A", "x")])
+    s = medallion.run_silver(spark, str(raw), str(tmp_path / "silver"))
+    assert s.month_aligned and (s.rows, s.partitions) == (25, 3)
+    per_dir = {}
+    for dp, _, fs in os.walk(tmp_path / "silver"):
+        n = len([f for f in fs if f.endswith(".parquet")])
+        if n:
+            per_dir[os.path.basename(dp)] = n
+    assert sorted(per_dir) == ["month=1", "month=2", "month=3"]
+    # one file per source file of that month (March has two sources)
+    assert per_dir["month=1"] == 1 and per_dir["month=2"] == 1 and per_dir["month=3"] == 2
+    assert spark.read.parquet(str(tmp_path / "silver")).count() == 25

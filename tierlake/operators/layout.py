@@ -45,11 +45,15 @@ def salts_for(rows: int, files_per_partition: int, max_rows_per_file: int | None
 
 def write_partitioned(df: DataFrame, path: str, stats: list[tuple[int, int, int]] | None = None,
                       files_per_partition: int = 1, max_rows_per_file: int | None = DEFAULT_MAX_ROWS_PER_FILE,
-                      dynamic: bool = True) -> int:
-    """Write ``df`` partitioned by year/month; returns the number of write tasks.
+                      dynamic: bool = True, shuffle: bool = True) -> int:
+    """Write ``df`` partitioned by year/month; returns the number of write tasks
+    (0 when written straight from its own partitions).
 
     ``dynamic=True`` replaces only the partitions present in ``df``.
     ``max_rows_per_file=None`` gives exactly the ``files_per_partition`` plan.
+    ``shuffle=False`` writes each input partition's rows as they are (no
+    exchange): right when every input partition holds a single month, as
+    with monthly source files.
     """
     if stats is None:
         stats = partition_counts(df)
@@ -59,7 +63,9 @@ def write_partitioned(df: DataFrame, path: str, stats: list[tuple[int, int, int]
     plan = [(y, m, salts_for(n, files_per_partition, max_rows_per_file)) for y, m, n in stats]
     total = max(1, sum(s for _, _, s in plan))
     cols = df.columns
-    if all(s == 1 for _, _, s in plan):
+    if not shuffle:
+        out, total = df, 0
+    elif all(s == 1 for _, _, s in plan):
         out = df.repartition(total, *PARTITION_COLUMNS)
     else:
         salts = F.broadcast(spark.createDataFrame(plan, "year int, month int, _salts int"))

@@ -8,13 +8,14 @@ invalid rows fall into a single NULL group, so its result has at most
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.functions.columns import normalize_columns
 from tierlake.functions.periods import with_partition_columns
+from tierlake.session import checkpoint_dir
 from tierlake.sources.raw_csv import FILE_COLUMN, read_raw_csv
 
 MIN_YEAR, MAX_YEAR = 1900, 2100
@@ -60,51 +61,81 @@ def partition_stats(silver: DataFrame) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def file_partition_stats(silver: DataFrame) -> DataFrame:
+    """:func:`partition_stats` per source file: one row per (file, valid
+    month) and per file with invalid rows. Small (about one row per file
+    when files are monthly) and computed in the same narrow pass."""
+    ok = ~invalid_partition()
+    return silver.groupBy(
+        F.col(FILE_COLUMN), F.when(ok, F.col("year")).alias("year"), F.when(ok, F.col("month")).alias("month")
+    ).agg(F.count(F.lit(1)).alias("rows"))
+
+
 @dataclass
 class SilverSummary:
     rows: int
     partitions: int
     invalid_rows: int
     stats: list  # [(year, month, rows)] for valid partitions
+    month_aligned: bool = False  # every source file holds rows of one month only
+    invalid_files: list = field(default_factory=list)  # up to 5 files with invalid rows
 
 
 def summarize(silver: DataFrame) -> SilverSummary:
-    stats = partition_stats(silver).collect()
+    """One narrow pass over the raw files (only the columns that feed
+    ``year``/``month`` are read), kept as a small per-file table in the shared
+    checkpoint folder; the month totals, the alignment test and the gate's
+    example files are read from it, not from the raw files again."""
+    checkpoint_dir(silver.sparkSession)
+    per_file = file_partition_stats(silver).checkpoint()
+    stats = per_file.groupBy("year", "month").agg(F.sum("rows").alias("rows")).collect()
     valid = [(r["year"], r["month"], r["rows"]) for r in stats if r["year"] is not None]
     invalid = sum(r["rows"] for r in stats if r["year"] is None)
+    widest = per_file.groupBy(FILE_COLUMN).agg(F.count(F.lit(1)).alias("groups")) \
+        .agg(F.max("groups").alias("widest")).first()["widest"]
+    files = []
+    if invalid:
+        files = [r[FILE_COLUMN] for r in
+                 per_file.where(F.col("year").isNull()).select(FILE_COLUMN).orderBy(FILE_COLUMN).limit(5).collect()]
     return SilverSummary(
-        rows=sum(r[2] for r in valid) + invalid, partitions=len(valid), invalid_rows=invalid, stats=valid
+        rows=sum(r[2] for r in valid) + invalid, partitions=len(valid), invalid_rows=invalid, stats=valid,
+        month_aligned=(widest or 0) <= 1, invalid_files=files,
     )
 
 
-def check_gate(silver: DataFrame, summary: SilverSummary) -> None:
+def check_gate(summary: SilverSummary) -> None:
     """Raise with the invalid-row count and up to 5 example files."""
     if summary.invalid_rows == 0:
         return
-    files = [
-        r[FILE_COLUMN]
-        for r in silver.where(invalid_partition()).select(FILE_COLUMN).distinct().limit(5).collect()
-    ]
     raise SilverGateError(
         "Failed to derive valid year/month for all rows. "
-        f"Invalid rows: {summary.invalid_rows}. Example source files: {files}"
+        f"Invalid rows: {summary.invalid_rows}. Example source files: {summary.invalid_files}"
     )
 
 
 def build_silver(spark: SparkSession, raw_uri: str, silver_uri: str, files_per_partition: int = 1,
-                 max_rows_per_file: int | None = 5_000_000, full_refresh: bool = False) -> SilverSummary:
+                 max_rows_per_file: int | None = 5_000_000, full_refresh: bool = False,
+                 shuffle: bool | None = None) -> SilverSummary:
     """Raw CSV prefix -> Silver parquet partitioned by ``year``/``month``.
 
     Two passes over the raw files: a column-pruned stats pass (gate +
     per-partition sizes) and the write. Nothing is written when the gate
     fails. Re-runs replace only the months present in the input unless
     ``full_refresh``.
+
+    ``shuffle=None`` (auto) skips the ``(year, month)`` shuffle of the write
+    when every raw file holds one month and one file per partition is asked
+    for: each input split then writes one file into its month, so Silver is
+    never shuffled as a whole. Otherwise the write is hash-partitioned (and
+    salted) as in :func:`~tierlake.operators.layout.write_partitioned`.
     """
     from tierlake.operators.layout import write_partitioned
 
     silver = to_silver(read_raw_csv(spark, raw_uri))
     summary = summarize(silver)
-    check_gate(silver, summary)
+    check_gate(summary)
+    if shuffle is None:
+        shuffle = not (summary.month_aligned and files_per_partition == 1)
     write_partitioned(silver, silver_uri, summary.stats, files_per_partition, max_rows_per_file,
-                      dynamic=not full_refresh)
+                      dynamic=not full_refresh, shuffle=shuffle)
     return summary

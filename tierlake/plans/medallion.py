@@ -20,8 +20,9 @@ from tierlake.session import checkpoint_dir
 
 
 def run_silver(spark: SparkSession, raw_uri: str, silver_uri: str, files_per_partition: int = 1,
-               max_rows_per_file: int | None = DEFAULT_MAX_ROWS_PER_FILE, full_refresh: bool = False) -> SilverSummary:
-    return build_silver(spark, raw_uri, silver_uri, files_per_partition, max_rows_per_file, full_refresh)
+               max_rows_per_file: int | None = DEFAULT_MAX_ROWS_PER_FILE, full_refresh: bool = False,
+               shuffle: bool | None = None) -> SilverSummary:
+    return build_silver(spark, raw_uri, silver_uri, files_per_partition, max_rows_per_file, full_refresh, shuffle)
 
 
 @dataclass
