@@ -21,6 +21,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tierlake-warehouse-"))
     )
     s = builder.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
