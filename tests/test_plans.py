@@ -45,3 +45,9 @@ def test_projection_is_pruned(spark):
     scan = plan[plan.index("(1) Scan parquet"):]
     schema = scan[scan.index("ReadSchema"):].split("\n")[0]
     assert "l_tax" not in schema and "l_linenumber" not in schema
+
+
+def test_stored_month_read_is_partition_pruned(spark):
+    plan = _plan(E.queries()["pruning_file_counts"](spark, SF001))
+    filters = [line for line in plan.split("\n") if line.startswith("PartitionFilters: [")]
+    assert any("= 1998" in f and "= 6" in f for f in filters)

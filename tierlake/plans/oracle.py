@@ -317,3 +317,9 @@ ORACLE_SQL["sql_trade_top50_abs_month"] = ORACLE_SQL["trade_top50_abs_month"]
 ORACLE_SQL["sql_production_sum_filtered"] = _with(
     f"SELECT SUM(total_production) AS total_production_sum FROM monthly WHERE {M}")
 ORACLE_SQL["sql_gold_row_counts"] = ORACLE_SQL["gold_row_counts"]
+
+# One file per written partition: a month reads its one file, all months read
+# one file per month.
+ORACLE_SQL["pruning_file_counts"] = _with(
+    f"SELECT 'one_month' AS scope, COUNT(*) AS data_files FROM monthly WHERE {M} "
+    "UNION ALL SELECT 'all_months', COUNT(*) FROM monthly")

@@ -269,6 +269,28 @@ def q_sql_gold_row_counts(spark, d):
     return spark.sql(validation.row_counts_sql(db))
 
 
+def q_pruning_file_counts(spark, d):
+    """Partition layout and pruning: monthly Gold is written as
+    ``year=/month=`` partitions (one file each) under the shared checkpoint
+    folder and read back. The month predicate is a ``PartitionFilters``
+    entry of the scan (asserted in the plan tests), so one data file is read
+    for the month and one per month without it."""
+    import uuid
+
+    from tierlake.operators.layout import write_partitioned
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tierlake-gold-{uuid.uuid4().hex}"
+    write_partitioned(gold.monthly_global_production(_cube(spark, d)), path, files_per_partition=1)
+    stored = spark.read.parquet(path)
+    month = stored.where((F.col("year") == CHECK_YEAR) & (F.col("month") == CHECK_MONTH))
+
+    def files(df, scope):
+        return df.agg(F.count_distinct(F.col("_metadata.file_path")).alias("data_files")) \
+            .select(F.lit(scope).alias("scope"), "data_files")
+
+    return files(month, "one_month").unionByName(files(stored, "all_months"))
+
+
 def q_quality_checks(spark, d):
     """The 22 checks over Silver (the observation feed) and the derived Gold tables."""
     checks = quality.checks_for_frames(spark, observations(spark, d), _gold_materialized(spark, d))
@@ -299,6 +321,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_trade_top50_abs_month": q_sql_trade_top50_abs_month,
     "sql_production_sum_filtered": q_sql_production_sum_filtered,
     "sql_gold_row_counts": q_sql_gold_row_counts,
+    "pruning_file_counts": q_pruning_file_counts,
     "duplicate_month_keys": q_duplicate_month_keys,
     "duplicate_rank_keys": q_duplicate_rank_keys,
     "rank_range_violations": q_rank_range_violations,
