@@ -1,9 +1,10 @@
 """Silver layer: raw rows + lineage columns + typed ``year``/``month`` partitions.
 
 The gate (no row may lack a valid period) and the write sizing come from
-one aggregate, :func:`partition_stats`, grouped by *valid* partition: all
-invalid rows fall into a single NULL group, so its result has at most
-201 x 12 + 1 rows whatever the input size and is safe to collect.
+one narrow aggregate, :func:`file_partition_stats`, grouped by source file
+and *valid* partition (all invalid rows of a file fall into one NULL group).
+It is checkpointed; only the month totals (at most 201 x 12 + 1 rows), one
+alignment number and up to 5 example files are collected.
 """
 
 from __future__ import annotations
