@@ -53,19 +53,10 @@ def invalid_partition(year: Column | str = "year", month: Column | str = "month"
     return bad
 
 
-def partition_stats(silver: DataFrame) -> DataFrame:
-    """``year, month, rows`` per valid partition plus one NULL row for all
-    invalid rows (bounded output, one shuffle of partial counts)."""
-    ok = ~invalid_partition()
-    return silver.groupBy(
-        F.when(ok, F.col("year")).alias("year"), F.when(ok, F.col("month")).alias("month")
-    ).agg(F.count(F.lit(1)).alias("rows"))
-
-
 def file_partition_stats(silver: DataFrame) -> DataFrame:
-    """:func:`partition_stats` per source file: one row per (file, valid
-    month) and per file with invalid rows. Small (about one row per file
-    when files are monthly) and computed in the same narrow pass."""
+    """``source_file_name, year, month, rows``: one row per (file, valid
+    month), plus one NULL row per file for its invalid rows. Small (about one
+    row per file when files are monthly); one shuffle of partial counts."""
     ok = ~invalid_partition()
     return silver.groupBy(
         F.col(FILE_COLUMN), F.when(ok, F.col("year")).alias("year"), F.when(ok, F.col("month")).alias("month")
