@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierlake.llm import near_dedup, quality_rules
+from tierlake.llm import decontaminate, mixing, near_dedup, pii, quality_rules
 from tierlake.sources.tables import table
 
 
@@ -16,5 +16,17 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_near_dedup)}
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.spans(table(spark, sf_dir, "documents"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_near_dedup, op5_decontaminate, op6_pii, op8_mixing)}
 ORACLE_SQL: dict[str, str] = {}
