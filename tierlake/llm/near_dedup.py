@@ -13,8 +13,11 @@ Links. Equal word sequences are one class with the smallest id as
 representative. In each bucket the members are compared with one pivot, then
 the classes linked so far are contracted; buckets that still hold several
 components go on with more pivots, until every two members of a bucket are in
-one component or have been compared with each other. Each round emits a bounded number
-of pairs per bucket member, no group is collected, and no bucket is capped.
+one component or have been compared with each other. A comparison first
+estimates the similarity from the sketches and drops pairs more than ``SIGMAS``
+standard deviations below the threshold; the others are confirmed on their full
+sets. Each round emits a bounded number of pairs per bucket member, no group is
+collected, and no bucket is capped.
 
 Edge cases. Null, empty or white-space texts have an empty set and link with
 nothing. Rows that share a doc_id are one document. A null doc_id cannot be
@@ -36,9 +39,10 @@ from pyspark.sql import functions as F
 
 from tierlake.llm.common import ascii_words, components, fresh, mix, prepare, saved, shingle_sets, texts_of
 
-ROWS = 4
+ROWS = 6
 MISS = 1e-7
-PIVOTS = 8  # pivots of a bucket per later round
+SIGMAS = 5.5
+PIVOTS = 128  # pivots of a bucket per later round
 HUB_BLOCK = 512  # members compared with one copy of a pivot's set
 
 
@@ -78,14 +82,24 @@ def _signatures(batches: Iterator[pa.RecordBatch], k: int, bands: int, rows: int
     for batch in batches:
         words = [ascii_words(t) for t in texts_of(batch.column(1))]
         who, hashes, size = shingle_sets(words, k)
-        keys = band_keys(sketch(who, hashes, len(words), bands * rows), bands, rows)
-        keys = keys[size > 0]
+        sketches = sketch(who, hashes, len(words), bands * rows)
+        keys = band_keys(sketches, bands, rows)[size > 0]
+        short = mix(sketches).astype(np.uint16)
         offsets = np.concatenate([[0], np.cumsum(np.where(size > 0, bands, 0))]).astype(np.int32)
         same = [xxhash.xxh3_128_digest(b" ".join(w)) if w else None for w in words]
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(size, pa.int64()), pa.array(same, pa.binary()),
-             pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1)))],
-            ["doc_id", "n_shingles", "same", "bands"])
+             pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1))),
+             pa.array([row.tobytes() for row in short], pa.binary())],
+            ["doc_id", "n_shingles", "same", "bands", "sketch"])
+
+
+def _promising(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) whose sketches (two more columns, 16 bits a coordinate) agree in the share ``least`` or more."""
+    for batch in batches:
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(batch.num_rows, -1)
+                if batch.num_rows else np.zeros((0, 1)) for c in (2, 3))
+        yield batch.select([0, 1]).filter(pa.array((x == y).mean(axis=1) >= least))
 
 
 def _confirm(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
@@ -134,56 +148,64 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
 
     Links join documents whose sets of ``k``-word shingles have a Jaccard
     similarity of ``percent``/100 or more; ``component_id`` is the smallest
-    reachable doc_id. ``n_links`` counts the confirmed links of the document's
-    class that were needed to connect the components, not all its links.
+    reachable doc_id. ``n_links`` counts the confirmed links of the document
+    that were needed to connect the components, not all its links.
     """
     prepare(docs.sparkSession)
     bands = bands_for(percent, rows, miss)
+    least = percent / 100 - SIGMAS * math.sqrt(percent / 100 * (1 - percent / 100) / (bands * rows))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sig = saved(docs.mapInArrow(partial(_signatures, k=k, bands=bands, rows=rows),
-                                "doc_id long, n_shingles long, same binary, bands array<long>"))
+                                "doc_id long, n_shingles long, same binary, bands array<long>, sketch binary"))
     known = sig.where("doc_id is not null and same is not null")
     reps = known.groupBy("same").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n"))
     copies = saved(known.select("same", "doc_id").distinct().join(reps, "same")
                    .select("doc_id", "node", "n"))
-    banded = known.select("doc_id", "bands").join(
-        copies.where("doc_id = node").select("doc_id", "n"), "doc_id").select(
+    own = copies.where("doc_id = node").select("doc_id", "n")
+    banded = known.select("doc_id", "bands").join(own, "doc_id").select(
         F.col("doc_id").alias("node"), "n", F.explode("bands").alias("key")).distinct()
     full = banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
-    members = saved(banded.join(full, "key").select("key", "node", "n", F.lit(False).alias("used")))
-    texts = saved(docs.where("text is not null").join(members.select(F.col("node").alias("doc_id")).distinct(), "doc_id")
-                  .join(copies.where("doc_id = node").select("doc_id"), "doc_id", "left_semi")
+    members = saved(banded.join(full, "key").select("key", "node", "n"))
+    nodes = members.select(F.col("node").alias("doc_id")).distinct()
+    texts = saved(docs.where("text is not null").join(nodes, "doc_id")
                   .select(F.col("doc_id").alias("node"), "text").dropDuplicates(["node"]))
-
-    links = saved(copies.where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b")).distinct())
-    roots = components(links) if not links.isEmpty() else links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    rooted = members.withColumn("comp", F.col("node"))
-    pivots = 1
+    sketches = known.join(nodes, "doc_id").select(F.col("doc_id").alias("node"), "sketch").dropDuplicates(["node"])
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        side = {c: sketches.select(F.col("node").alias(c), F.col("sketch").alias(f"sketch_{c}")) for c in "ab"}
+        pairs = pairs.where(F.least("n", "pn") * 100 >= F.greatest("n", "pn") * percent).select(
+            F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+        likely = pairs.join(side["a"], "a").join(side["b"], "b").select("a", "b", "sketch_a", "sketch_b").mapInArrow(
+            partial(_promising, least=least), "a long, b long")
+        return saved(confirmed(saved(likely), texts, k, percent))
+
+    pivot = members.groupBy("key").agg(F.min_by(F.struct("node", "n"), "node").alias("p")).select(
+        "key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"))
+    found = compared(members.join(pivot, "key").where("node <> pivot"))
+    links = copies.where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b")).union(found).distinct()
+    roots = components(links)
+    rooted = members.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("comp"))
+    rooted = rooted.join(pivot.select("key", "pivot"), "key").withColumn("used", F.expr("node = pivot")).drop("pivot")
+    more = []
     while True:
         open_keys = rooted.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
                                               F.count(F.when(~F.col("used"), 1)).alias("left"))
-        open_keys = open_keys.where("c0 <> c1 and left > 1").select("key")
-        active = saved(rooted.join(open_keys, "key"))
+        active = saved(rooted.join(open_keys.where("c0 <> c1 and left > 1").select("key"), "key"))
         if active.isEmpty():
             break
-        slot = F.pmod(F.xxhash64("node"), F.lit(pivots)).alias("slot")
-        picked = (active.where("not used").groupBy("key", slot).agg(F.min("node").alias("pivot"))
-                  .select("key", "pivot"))
-        picked = picked.join(active.select("key", F.col("node").alias("pivot"), F.col("n").alias("pn"),
-                                           F.col("comp").alias("pc")), ["key", "pivot"])
-        pairs = (active.where("not used").join(picked, "key")
-                 .where("node <> pivot and comp <> pc")
-                 .where(F.least("n", "pn") * 100 >= F.greatest("n", "pn") * percent)
-                 .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
-        new = saved(confirmed(saved(pairs), texts, k, percent))
-        marked = active.join(picked.select("key", F.col("pivot").alias("node"), F.lit(True).alias("now")),
-                             ["key", "node"], "left").withColumn("used", F.col("used") | F.col("now").isNotNull())
-        if not new.isEmpty():
-            links = saved(links.union(new).distinct())
-            roots = components(links)
-        rooted = saved(marked.select("key", "node", "n", "used").join(roots, "node", "left")
-                       .select("key", "node", "n", "used", F.coalesce("root", "node").alias("comp")))
-        pivots = PIVOTS
+        todo = active.where("not used").drop("used")
+        picked = todo.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(PIVOTS)).alias("slot")).agg(
+            F.min_by(F.struct("node", "n", "comp"), "node").alias("p")).select(
+            "key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.comp").alias("pc"))
+        more.append(compared(todo.join(picked, "key").where("node <> pivot and comp <> pc")))
+        rooted = active.join(picked.select("key", F.col("pivot").alias("node"), F.lit(True).alias("now")),
+                             ["key", "node"], "left").withColumn("used", F.col("used") | F.col("now").isNotNull()).drop("now")
+    more = [m for m in more if not m.isEmpty()]
+    if more:
+        for m in more:
+            links = links.union(m)
+        links = links.distinct()
+        roots = components(links)
 
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(
         F.count("*").alias("n_links"))
