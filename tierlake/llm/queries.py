@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierlake.llm import decontaminate, mixing, near_dedup, pii, quality_rules
+from tierlake.llm import decontaminate, language_id, mixing, near_dedup, pii, quality_rules, token_counts, toxicity
 from tierlake.sources.tables import table
 
 
@@ -16,6 +16,10 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -28,5 +32,16 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_near_dedup, op5_decontaminate, op6_pii, op8_mixing)}
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_near_dedup, op4_toxicity, op5_decontaminate, op6_pii, op8_mixing,
+                                op9_token_counts, op10_language_id)}
 ORACLE_SQL: dict[str, str] = {}
