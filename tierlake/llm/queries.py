@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from tierlake.llm import decontaminate, language_id, mixing, near_dedup, pii, quality_rules, token_counts, toxicity
+from tierlake.llm import decontaminate, language_id, mixing, near_dedup, pii, quality_rules, token_counts, toxicity, warc_bundles
+from tierlake.session import checkpoint_dir
 from tierlake.sources.tables import table
 
 
@@ -12,6 +15,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(table(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
+    index = warc_bundles.write_bundles(table(spark, sf_dir, "pages"), folder, min_bytes=0)
+    return warc_bundles.read_records(index, folder).drop("url", "payload")
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
 
@@ -42,6 +51,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_near_dedup, op4_toxicity, op5_decontaminate, op6_pii, op8_mixing,
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_warc, op3_near_dedup, op4_toxicity, op5_decontaminate, op6_pii, op8_mixing,
                                 op9_token_counts, op10_language_id)}
-ORACLE_SQL: dict[str, str] = {}
+#: The digest in base32: 20 bits, that is 5 hexadecimal digits, make 4 letters.
+ORACLE_SQL = {
+    "op2_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+        g AS (SELECT h, max(page_id) AS first FROM p GROUP BY h),
+        x AS (SELECT p.page_id, octet_length(encode(p.h)) AS n, sha1(p.h) AS hex, g.first FROM p JOIN g ON p.h = g.h)
+        SELECT page_id, n AS payload_bytes,
+               array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::INTEGER >> (15 - 5 * (i % 4))::INTEGER) & 31), 1)), '') AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM x""",
+}
