@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierlake.llm import decontaminate, language_id, mixing, near_dedup, pii, quality_rules, token_counts, toxicity, warc_bundles
+from tierlake.llm import decontaminate, language_id, mixing, near_dedup, pii, quality_rules, suffix_dedup, token_counts, toxicity, warc_bundles
 from tierlake.session import checkpoint_dir
 from tierlake.sources.tables import table
 
@@ -37,6 +37,10 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.spans(table(spark, sf_dir, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
@@ -51,7 +55,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_warc, op3_near_dedup, op4_toxicity, op5_decontaminate, op6_pii, op8_mixing,
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_warc, op3_near_dedup, op4_toxicity, op5_decontaminate, op6_pii, op7_suffix_dedup, op8_mixing,
                                 op9_token_counts, op10_language_id)}
 #: The digest in base32: 20 bits, that is 5 hexadecimal digits, make 4 letters.
 ORACLE_SQL = {
