@@ -16,7 +16,7 @@ components go on with more pivots, until every two members of a bucket are in
 one component or have been compared with each other. A comparison first
 estimates the similarity from the sketches and drops pairs more than ``SIGMAS``
 standard deviations below the threshold; the others are confirmed on their full
-sets. Each round emits a bounded number of pairs per bucket member, no group is
+sets. Pairs of the later rounds are confirmed together. Each round emits a bounded number of pairs per bucket member, no group is
 collected, and no bucket is capped.
 
 Edge cases. Null, empty or white-space texts have an empty set and link with
@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -171,17 +171,16 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
                   .select(F.col("doc_id").alias("node"), "text").dropDuplicates(["node"]))
     sketches = known.join(nodes, "doc_id").select(F.col("doc_id").alias("node"), "sketch").dropDuplicates(["node"])
 
-    def compared(pairs: DataFrame) -> DataFrame:
+    def likely(pairs: DataFrame) -> DataFrame:
         side = {c: sketches.select(F.col("node").alias(c), F.col("sketch").alias(f"sketch_{c}")) for c in "ab"}
         pairs = pairs.where(F.least("n", "pn") * 100 >= F.greatest("n", "pn") * percent).select(
             F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        likely = pairs.join(side["a"], "a").join(side["b"], "b").select("a", "b", "sketch_a", "sketch_b").mapInArrow(
-            partial(_promising, least=least), "a long, b long")
-        return saved(confirmed(saved(likely), texts, k, percent))
+        return saved(pairs.join(side["a"], "a").join(side["b"], "b").select("a", "b", "sketch_a", "sketch_b").mapInArrow(
+            partial(_promising, least=least), "a long, b long"))
 
     pivot = members.groupBy("key").agg(F.min_by(F.struct("node", "n"), "node").alias("p")).select(
         "key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"))
-    found = compared(members.join(pivot, "key").where("node <> pivot"))
+    found = saved(confirmed(likely(members.join(pivot, "key").where("node <> pivot")), texts, k, percent))
     links = copies.where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b")).union(found).distinct()
     roots = components(links)
     rooted = members.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("comp"))
@@ -197,15 +196,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
         picked = todo.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(PIVOTS)).alias("slot")).agg(
             F.min_by(F.struct("node", "n", "comp"), "node").alias("p")).select(
             "key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.comp").alias("pc"))
-        more.append(compared(todo.join(picked, "key").where("node <> pivot and comp <> pc")))
+        more.append(likely(todo.join(picked, "key").where("node <> pivot and comp <> pc")))
         rooted = active.join(picked.select("key", F.col("pivot").alias("node"), F.lit(True).alias("now")),
                              ["key", "node"], "left").withColumn("used", F.col("used") | F.col("now").isNotNull()).drop("now")
-    more = [m for m in more if not m.isEmpty()]
     if more:
-        for m in more:
-            links = links.union(m)
-        links = links.distinct()
-        roots = components(links)
+        late = saved(confirmed(saved(reduce(DataFrame.union, more).distinct()), texts, k, percent))
+        if not late.isEmpty():
+            links = links.union(late)
+            roots = components(links)
 
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(
         F.count("*").alias("n_links"))
