@@ -1,11 +1,11 @@
-"""Size guards: bounded broadcast and spreading under-split inputs."""
+"""Size guards: bounded broadcast."""
 
 import contextlib
 import io
 
 from pyspark.sql import functions as F
 
-from tierlake.sources.tables import broadcast_if_bounded, spread
+from tierlake.sources.tables import broadcast_if_bounded
 
 
 def _plan(df):
@@ -24,12 +24,3 @@ def test_broadcast_only_within_bound(spark):
         assert "BroadcastHashJoin" not in _plan(big.join(broadcast_if_bounded(small, 10), "k"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_spread(spark):
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.range(1000).coalesce(1)
-    assert spread(one).rdd.getNumPartitions() == cores
-    many = spark.range(1000).repartition(cores + 1)
-    assert spread(many) is many
-    assert spread(one).agg(F.sum("id")).first()[0] == sum(range(1000))

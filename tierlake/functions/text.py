@@ -35,26 +35,22 @@ def number_text(c: Column | str) -> Column:
 
 
 def is_number(c: Column | str) -> Column:
-    """True when the cleaned text is a plain number, i.e. exactly when
-    :func:`parse_number` is not NULL (every such text casts to a double)."""
-    return F.coalesce(number_text(c).rlike(PLAIN_NUMBER), F.lit(False))
+    """True exactly when :func:`parse_number` is not NULL."""
+    return parse_number(c).isNotNull()
 
 
 def parse_number(c: Column | str) -> Column:
-    """Text to double; NULL unless the cleaned text is a plain number."""
+    """Text to double; NULL unless the cleaned text is a plain number within the range of a double
+    (``1e400`` is not)."""
     t = number_text(c)
-    return F.when(t.rlike(PLAIN_NUMBER), t.try_cast("double"))
+    value = F.when(t.rlike(PLAIN_NUMBER), t.try_cast("double"))
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def parse_int(c: Column | str) -> Column:
-    """Text to int, also accepting a number with a fraction (truncated).
+    """Text to int: digits with an optional plain fraction, which is cut (``2023.0``); no commas, no exponent.
 
-    Casts are guarded by a pattern test so that blank or junk text never
-    reaches the cast (a failed cast costs a caught exception per row)."""
+    The cast is guarded by a pattern test so that blank or junk text never
+    reaches it (a failed cast costs a caught exception per row)."""
     t = F.trim(as_text(c))
-    whole = F.when(t.rlike(r"^[+-]?[0-9]+$"), t.try_cast("int"))
-    return F.coalesce(whole, parse_number(t).try_cast("int"))
-
-
-def truncate_text(c: Column | str, n: int = 1000) -> Column:
-    return F.substring(as_text(c), 1, n)
+    return F.when(t.rlike(r"^[+-]?[0-9]+([.][0-9]*)?$"), F.substring_index(t, ".", 1).try_cast("int"))

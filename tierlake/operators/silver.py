@@ -3,8 +3,8 @@
 The gate (no row may lack a valid period) and the write sizing come from
 one narrow aggregate, :func:`file_partition_stats`, grouped by source file
 and *valid* partition (all invalid rows of a file fall into one NULL group).
-It is checkpointed; only the month totals (at most 201 x 12 + 1 rows), one
-alignment number and up to 5 example files are collected.
+It is checkpointed; only the month totals (at most 201 x 12 + 1 rows)
+and up to 5 example files are collected.
 """
 
 from __future__ import annotations
@@ -69,29 +69,25 @@ class SilverSummary:
     partitions: int
     invalid_rows: int
     stats: list  # [(year, month, rows)] for valid partitions
-    month_aligned: bool = False  # every source file holds rows of one month only
     invalid_files: list = field(default_factory=list)  # up to 5 files with invalid rows
 
 
 def summarize(silver: DataFrame) -> SilverSummary:
     """One narrow pass over the raw files (only the columns that feed
     ``year``/``month`` are read), kept as a small per-file table in the shared
-    checkpoint folder; the month totals, the alignment test and the gate's
-    example files are read from it, not from the raw files again."""
+    checkpoint folder; the month totals and the gate's example files are read from it, not from the raw files again."""
     checkpoint_dir(silver.sparkSession)
     per_file = file_partition_stats(silver).checkpoint()
     stats = per_file.groupBy("year", "month").agg(F.sum("rows").alias("rows")).collect()
     valid = [(r["year"], r["month"], r["rows"]) for r in stats if r["year"] is not None]
     invalid = sum(r["rows"] for r in stats if r["year"] is None)
-    widest = per_file.groupBy(FILE_COLUMN).agg(F.count(F.lit(1)).alias("groups")) \
-        .agg(F.max("groups").alias("widest")).first()["widest"]
     files = []
     if invalid:
         files = [r[FILE_COLUMN] for r in
                  per_file.where(F.col("year").isNull()).select(FILE_COLUMN).orderBy(FILE_COLUMN).limit(5).collect()]
     return SilverSummary(
         rows=sum(r[2] for r in valid) + invalid, partitions=len(valid), invalid_rows=invalid, stats=valid,
-        month_aligned=(widest or 0) <= 1, invalid_files=files,
+        invalid_files=files,
     )
 
 
@@ -100,14 +96,14 @@ def check_gate(summary: SilverSummary) -> None:
     if summary.invalid_rows == 0:
         return
     raise SilverGateError(
-        "Failed to derive valid year/month for all rows. "
-        f"Invalid rows: {summary.invalid_rows}. Example source files: {summary.invalid_files}"
+        f"Invalid rows: {summary.invalid_rows} have no year from {MIN_YEAR} to {MAX_YEAR} with a month; "
+        f"some are in {summary.invalid_files}"
     )
 
 
 def build_silver(spark: SparkSession, raw_uri: str, silver_uri: str, files_per_partition: int = 1,
                  max_rows_per_file: int | None = 5_000_000, full_refresh: bool = False,
-                 shuffle: bool | None = None) -> SilverSummary:
+                 shuffle: bool = True) -> SilverSummary:
     """Raw CSV prefix -> Silver parquet partitioned by ``year``/``month``.
 
     Two passes over the raw files: a column-pruned stats pass (gate +
@@ -115,19 +111,17 @@ def build_silver(spark: SparkSession, raw_uri: str, silver_uri: str, files_per_p
     fails. Re-runs replace only the months present in the input unless
     ``full_refresh``.
 
-    ``shuffle=None`` (auto) skips the ``(year, month)`` shuffle of the write
-    when every raw file holds one month and one file per partition is asked
-    for: each input split then writes one file into its month, so Silver is
-    never shuffled as a whole. Otherwise the write is hash-partitioned (and
-    salted) as in :func:`~tierlake.operators.layout.write_partitioned`.
+    The write is hash-partitioned (and salted) as in
+    :func:`~tierlake.operators.layout.write_partitioned`, whatever the raw
+    files hold: at least ``files_per_partition`` files a month are planned, and
+    more for a month over ``max_rows_per_file`` rows. ``shuffle=False``
+    writes one file per input split and month instead, without a shuffle.
     """
     from tierlake.operators.layout import write_partitioned
 
     silver = to_silver(read_raw_csv(spark, raw_uri))
     summary = summarize(silver)
     check_gate(summary)
-    if shuffle is None:
-        shuffle = not (summary.month_aligned and files_per_partition == 1)
     write_partitioned(silver, silver_uri, summary.stats, files_per_partition, max_rows_per_file,
                       dynamic=not full_refresh, shuffle=shuffle)
     return summary

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tierlake.operators import gold as G
 from tierlake.operators.layout import DEFAULT_MAX_ROWS_PER_FILE, partition_counts, write_partitioned
@@ -21,7 +22,7 @@ from tierlake.session import checkpoint_dir
 
 def run_silver(spark: SparkSession, raw_uri: str, silver_uri: str, files_per_partition: int = 1,
                max_rows_per_file: int | None = DEFAULT_MAX_ROWS_PER_FILE, full_refresh: bool = False,
-               shuffle: bool | None = None) -> SilverSummary:
+               shuffle: bool = True) -> SilverSummary:
     return build_silver(spark, raw_uri, silver_uri, files_per_partition, max_rows_per_file, full_refresh, shuffle)
 
 
@@ -29,6 +30,8 @@ def run_silver(spark: SparkSession, raw_uri: str, silver_uri: str, files_per_par
 class GoldSummary:
     rows: dict[str, int]
     partitions: dict[str, int]
+    silver_rows: int = 0
+    dropped_rows: int = 0  # Silver rows without a valid period or a numeric value
 
 
 def run_gold(spark: SparkSession, silver_uri: str, gold_uri: str, files_per_partition: int = 1,
@@ -43,22 +46,25 @@ def run_gold(spark: SparkSession, silver_uri: str, gold_uri: str, files_per_part
     written.
     """
     checkpoint_dir(spark)
-    silver = spark.read.parquet(silver_uri.rstrip("/"))
+    silver = spark.read.option("mergeSchema", "true").parquet(silver_uri.rstrip("/"))
     if not silver.columns:
-        raise G.GoldInputError(f"No columns detected in silver input: {silver_uri}")
-    base = G.base_frame(silver)
+        raise G.GoldInputError(f"{silver_uri} has no columns")
+    read, used = Observation("silver_rows"), Observation("base_rows")
+    base = G.base_frame(silver.observe(read, F.count(F.lit(1)).alias("rows"))).observe(used, F.count(F.lit(1)).alias("rows"))
     cube = G.flow_cube(base, patterns, exact_scale).checkpoint()
     G.check_gates(base, cube)
     tables = G.gold_tables(cube, top_n)
     stats = {name: partition_counts(df) for name, df in tables.items()}
     for name, st in stats.items():
         if not st:
-            raise G.GoldInputError(f"No rows to write for {name}.")
+            raise G.GoldInputError(f"{name} would be empty")
     for name, df in tables.items():
         write_partitioned(df, f"{gold_uri.rstrip('/')}/{name}", stats[name], files_per_partition)
     return GoldSummary(
         rows={n: sum(r for _, _, r in st) for n, st in stats.items()},
         partitions={n: len(st) for n, st in stats.items()},
+        silver_rows=read.get["rows"],
+        dropped_rows=read.get["rows"] - used.get["rows"],
     )
 
 

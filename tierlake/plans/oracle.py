@@ -173,6 +173,7 @@ _NUMBER_VARIANTS = {
     "thousands": r"regexp_replace(plain, '^([0-9]+)([0-9]{3})[.]', '\1,\2.')",
     "exponent": "plain || 'e0'",
     "garbage": "'n/a'",
+    "beyond_double": "'1e400'",
     "nan": "'NaN'",
     "suffix_d": "plain || 'd'",
 }
@@ -181,7 +182,8 @@ ORACLE_SQL["numeric_text"] = (
     "v AS (" + " UNION ALL ".join(
         f"SELECT c_custkey, '{k}' AS variant, {e} AS text FROM c" for k, e in _NUMBER_VARIANTS.items())
     + f")\nSELECT c_custkey, variant, text, CASE WHEN regexp_matches(replace(TRIM(text), ',', ''), "
-      f"'{PLAIN_NUMBER}') THEN TRY_CAST(replace(TRIM(text), ',', '') AS DOUBLE) END AS value FROM v"
+      f"'{PLAIN_NUMBER}') THEN CASE WHEN isfinite(TRY_CAST(replace(TRIM(text), ',', '') AS DOUBLE)) "
+      f"THEN TRY_CAST(replace(TRIM(text), ',', '') AS DOUBLE) END END AS value FROM v"
 )
 
 # --- Silver partition derivation on the raw feed ------------------------------
@@ -323,3 +325,6 @@ ORACLE_SQL["sql_gold_row_counts"] = ORACLE_SQL["gold_row_counts"]
 ORACLE_SQL["pruning_file_counts"] = _with(
     f"SELECT 'one_month' AS scope, COUNT(*) AS data_files FROM monthly WHERE {M} "
     "UNION ALL SELECT 'all_months', COUNT(*) FROM monthly")
+
+# Every row counts in its month, whichever header its file had: the same rows as without files.
+ORACLE_SQL["silver_gold_mixed_headers"] = ORACLE_SQL["monthly_global_production"]

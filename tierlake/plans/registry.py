@@ -22,7 +22,7 @@ from tierlake.operators.silver import invalid_partition, to_silver
 from tierlake.plans import validation
 from tierlake.session import checkpoint_dir
 from tierlake.sources.observations import observations, raw_feed
-from tierlake.sources.tables import spread, table
+from tierlake.sources.tables import table
 
 EXACT_SCALE = 2
 # The validation month (the test data spans 1995-01 .. 2001-11).
@@ -121,7 +121,7 @@ PERIOD_FORMATS = {
 
 def q_period_parse(spark, d):
     """Every ship date spelled 7 ways and parsed back to (year, month)."""
-    li = spread(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate"))
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     spelled = F.array(*[
         F.struct(F.lit(name).alias("period_format"), F.date_format("l_shipdate", fmt).alias("period_text"))
         for name, fmt in PERIOD_FORMATS.items()
@@ -148,6 +148,7 @@ def _text_variants(spark, d):
         "thousands": F.regexp_replace(plain, r"^([0-9]+)([0-9]{3})[.]", "$1,$2."),
         "exponent": F.concat(plain, F.lit("e0")),
         "garbage": F.lit("n/a"),
+        "beyond_double": F.lit("1e400"),
         "nan": F.lit("NaN"),
         "suffix_d": F.concat(plain, F.lit("d")),
     }
@@ -204,6 +205,28 @@ def q_silver_csv_roundtrip(spark, d):
         F.count(F.lit(1)).alias("row_count"), F.sum(value).cast("double").alias("value_total"))
 
 
+def q_silver_gold_mixed_headers(spark, d):
+    """Observations -> CSV with other role names per run -> two Silver runs -> stored Silver -> stored Gold.
+
+    Even months are written as ``country, flow, product, value`` and odd ones
+    as ``ref_area, flow_breakdown, energy_product, obs_value``; monthly
+    production over the stored tables must count all rows of both.
+    """
+    import uuid
+
+    from tierlake.plans.medallion import run_gold, run_silver
+
+    root = f"{checkpoint_dir(spark).rstrip('/')}/tierlake-mixed-{uuid.uuid4().hex}"
+    feed = observations(spark, d)
+    other = {"country": "ref_area", "flow": "flow_breakdown", "product": "energy_product", "value": "obs_value"}
+    for i, names in enumerate(({}, other)):
+        feed.where(F.col("month") % 2 == i).withColumnsRenamed(names).write.option("header", True).csv(f"{root}/raw{i}")
+        run_silver(spark, f"{root}/raw{i}", f"{root}/silver")
+    run_gold(spark, f"{root}/silver", f"{root}/gold", exact_scale=EXACT_SCALE)
+    cols = q_monthly_global_production(spark, d).columns
+    return spark.read.parquet(f"{root}/gold/gold_monthly_global_production").select(*cols)
+
+
 def q_invalid_partition_counts(spark, d):
     return _silver_feed(spark, d).agg(
         F.count(F.lit(1)).alias("silver_rows"),
@@ -317,6 +340,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "silver_partition_counts": q_silver_partition_counts,
     "invalid_partition_counts": q_invalid_partition_counts,
     "silver_csv_roundtrip": q_silver_csv_roundtrip,
+    "silver_gold_mixed_headers": q_silver_gold_mixed_headers,
     "sql_top_producers_month": q_sql_top_producers_month,
     "sql_trade_top50_abs_month": q_sql_trade_top50_abs_month,
     "sql_production_sum_filtered": q_sql_production_sum_filtered,

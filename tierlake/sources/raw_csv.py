@@ -11,7 +11,8 @@ values. This reader instead:
 3. groups files by identical header and reads each group with an explicit
    all-string schema (no ``inferSchema`` pass, no type drift between runs:
    numbers are typed later by role);
-4. normalises each group's names and unions the groups by name.
+4. normalises each group's names, notes which of them play the roles
+   (``header_roles``) and unions the groups by name.
 
 Only the distinct headers and the file list (which the driver's file index
 holds anyway) reach the driver; rows never do.
@@ -20,6 +21,7 @@ holds anyway) reach the driver; rows never do.
 from __future__ import annotations
 
 import csv
+import json
 import sys
 from collections.abc import Iterator
 
@@ -29,13 +31,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tierlake.functions.columns import unique_normalized_names
+from tierlake.functions.columns import header_roles, unique_normalized_names
 
 # The header reader runs in Python workers; ship its few helpers by value so
 # tasks do not depend on this package being installed on every executor.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FILE_COLUMN = "source_file_name"
+ROLES_COLUMN = "header_roles"  # JSON: which column of the row's own header plays which role
 _HEAD_BYTES = 64 * 1024
 
 
@@ -50,19 +53,24 @@ def _arrow_path(uri: str) -> str:
 
 
 def read_first_line(uri: str) -> str:
-    """First line of a file (UTF-8, BOM and line break removed)."""
+    """First line of a file that is not blank, as Spark's reader takes it (UTF-8, BOM and line break
+    removed); empty for a file without one."""
     from pyarrow import fs as pafs
 
     filesystem, path = pafs.FileSystem.from_uri(_arrow_path(uri))
     buf = b""
     with filesystem.open_input_stream(path) as stream:
-        while b"\n" not in buf:
+        while True:
             chunk = stream.read(_HEAD_BYTES)
-            if not chunk:
-                break
             buf += chunk
-    line = buf.split(b"\n", 1)[0].rstrip(b"\r")
-    return line.decode("utf-8-sig", errors="replace")
+            lines = buf.removeprefix(b"\xef\xbb\xbf").split(b"\n")
+            whole = lines if not chunk else lines[:-1]
+            for line in whole:
+                if line.strip():
+                    return line.rstrip(b"\r").decode("utf-8", errors="replace")
+            if not chunk:
+                return ""
+            buf = lines[-1]
 
 
 def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -92,7 +100,7 @@ def read_raw_csv(spark: SparkSession, raw_uri: str, sep: str = ",") -> DataFrame
     parts: list[DataFrame] = []
     for header, paths in groups:
         names = parse_header(header, sep)
-        if not names:
+        if not names:  # empty and blank files have no row to lose
             continue
         schema = StructType([StructField(f"_c{i}", StringType()) for i in range(len(names))])
         df = (
@@ -104,9 +112,11 @@ def read_raw_csv(spark: SparkSession, raw_uri: str, sep: str = ",") -> DataFrame
         )
         normalized = unique_normalized_names(names)
         cols = [F.col(f"_c{i}").alias(n) for i, n in enumerate(normalized) if n != FILE_COLUMN]
-        parts.append(df.select(*cols, F.col("_metadata.file_path").alias(FILE_COLUMN)))
+        roles = json.dumps(header_roles([n for n in normalized if n != FILE_COLUMN]))
+        parts.append(df.select(*(c for c, n in zip(cols, (n for n in normalized if n != FILE_COLUMN)) if n != ROLES_COLUMN),
+                               F.lit(roles).alias(ROLES_COLUMN), F.col("_metadata.file_path").alias(FILE_COLUMN)))
     if not parts:
-        raise ValueError(f"No columns detected in raw input: {csv_glob(raw_uri)}")
+        raise ValueError(f"{csv_glob(raw_uri)} has no file with a header line")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)

@@ -21,14 +21,3 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores when it has fewer input
-    partitions than cores (a file with one large row group cannot be split).
-
-    Use before CPU-heavy per-row work that is not followed by a shuffle. A
-    no-op on a normal many-file input, where the scan is already parallel.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
