@@ -53,11 +53,13 @@ GENERATORS = {
     "ip": r"(?<![0-9])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9])",
     "card": r"(?<![0-9])[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{1,7}(?![0-9])",
     "phone": r"(?<![0-9])(?:\+?[0-9]{1,3}[ .-])?+\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
-    "secret": r"(?<![A-Za-z0-9_-])(?:AKIA[A-Z0-9]{16}|[A-Za-z_-]{0,60}+[0-9][A-Za-z0-9_-]*+)",
+    "secret": r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]{14})(?:AKIA[A-Z0-9]{16}|[A-Za-z_-]{0,60}+[0-9][A-Za-z0-9_-]*+)",
 }
 GENERATOR_GATE = {"email": r"[\[({]at[\])}]", "ip": r"[0-9]\.[0-9]", "card": "[0-9]{4}", "phone": "[0-9]{4}",
                   "secret": "[A-Za-z0-9_-]{14}"}
 MIN_SECRET = 14
+HIT_BLOCK = 100
+_HITS = "array<struct<start:int,end:int,hit:string,before:string,after:string>>"
 BEFORE = 24  # characters of context before a candidate
 CUES = r"(?i)(?:phone|tel|call|fax|mobile|card|visa|account|host|server|mail|contact)[^0-9A-Za-z]{0,4}$"
 SECRET_CUES = r"(?i)(?:password|passwd|pwd|token|secret|key|auth|bearer)[\"' ]{0,3}[:=][\"' ]{0,3}$"
@@ -90,13 +92,29 @@ def _hits(text: Column, pattern: str, after: bool) -> Column:
                        (row["after"] if after else F.lit("")).alias("after"))
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-    none = F.lit([]).cast("array<struct<start:int,end:int,hit:string,before:string,after:string>>")
-    return F.aggregate(rows, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+    # Running sums in blocks of rows, then over the blocks: a text with k hits costs k * HIT_BLOCK, not k * k.
+    none = F.lit([]).cast(_HITS)
+
+    def blocks(r: Column) -> Column:
+        count = F.ceil(F.size(r) / HIT_BLOCK).cast("int")
+        return F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.aggregate(
+            F.slice(r, i * HIT_BLOCK + 1, F.lit(HIT_BLOCK)), F.struct(F.lit(0).alias("at"), none.alias("out")), step)))
+
+    def shift(h: Column, by: Column) -> Column:
+        return F.struct((h["start"] + by).alias("start"), (h["end"] + by).alias("end"), h["hit"].alias("hit"),
+                        h["before"].alias("before"), h["after"].alias("after"))
+
+    def joined(parts: Column) -> Column:
+        ends = F.aggregate(parts, F.array(F.lit(0)), lambda acc, part: F.concat(acc, F.array(F.element_at(acc, -1) + part["at"])))
+        return F.flatten(F.zip_with(parts, F.slice(ends, 1, F.size(parts)), lambda part, by: F.transform(
+            part["out"], lambda h: shift(h, by))))
+
+    parts = F.element_at(F.transform(F.array(rows), blocks), 1)  # one-element arrays hold a value that is made once
+    return F.coalesce(F.element_at(F.transform(F.array(parts), joined), 1), none)
 
 
 def _gated(text: Column, gate: str, hits: Column) -> Column:
-    none = F.lit([]).cast("array<struct<start:int,end:int,hit:string,before:string,after:string>>")
-    return F.when(text.rlike(gate), hits).otherwise(none)
+    return F.when(text.rlike(gate), hits).otherwise(F.lit([]).cast(_HITS))
 
 
 def _digits(c: Column) -> Column:
