@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import struct
 import uuid
 from collections.abc import Iterator
@@ -43,6 +44,7 @@ from tierlake.llm.common import prepare, saved
 
 FRAME_BYTES = 1 << 20
 BUNDLE_BYTES = 256 << 20
+READ_BYTES = 64 << 20  # of records per reading task: index rows are small, what they point to is not
 SEEK_MAGIC, SKIPPABLE = 0x8F92EAB1, 0x184D2A5E
 INDEX = "page_id long, bundle string, frame int, frame_offset long, frame_bytes long, record_offset long, record_bytes long"
 RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
@@ -214,5 +216,7 @@ def write_bundles(pages: DataFrame, folder: str, min_bytes: int = 1, frame_bytes
 def read_records(index: DataFrame, folder: str) -> DataFrame:
     """The records of ``index`` rows (all, or those of wanted identifiers); revisits have a null payload."""
     prepare(index.sparkSession)
-    near = index.repartition("bundle", F.floor(F.col("frame") / 16)).sortWithinPartitions("bundle", "frame")
+    size = index.agg(F.sum("record_bytes")).first()[0] or 0
+    parts = max(index.sparkSession.sparkContext.defaultParallelism, math.ceil(size / READ_BYTES))
+    near = index.repartition(parts, "bundle", F.floor(F.col("frame") / 4)).sortWithinPartitions("bundle", "frame")
     return near.mapInArrow(partial(_read, folder=folder), RECORD)
