@@ -11,12 +11,13 @@ from the threshold so that a pair at the threshold is missed with at most
 
 Links. Equal word sequences are one class with the smallest id as
 representative. In each bucket the members are compared with one pivot, then
-the classes linked so far are contracted; buckets that still hold several
-components go on with more pivots, until every two members of a bucket are in
-one component or have been compared with each other. A comparison first
-estimates the similarity from the sketches and drops pairs more than ``SIGMAS``
-standard deviations below the threshold; the others are confirmed on their full
-sets. Pairs of the later rounds are confirmed together. Each round emits a bounded number of pairs per bucket member, no group is
+the classes linked so far are contracted. Buckets that still hold several
+components are dealt to blocks of bounded size; the members outside the
+bucket's main component pass by every block and are compared there with the
+members of other components, each pair only in the first band that it shares.
+A comparison first estimates the similarity from the sketches and drops pairs
+more than ``SIGMAS`` standard deviations below the threshold; the others are
+confirmed on their full sets. Only confirmed links leave a block, no group is
 collected, and no bucket is capped.
 
 Edge cases. Null, empty or white-space texts have an empty set and link with
@@ -29,7 +30,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import partial, reduce
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +43,8 @@ from tierlake.llm.common import ascii_words, components, fresh, mix, prepare, sa
 ROWS = 6
 MISS = 1e-7
 SIGMAS = 5.5
-PIVOTS = 128  # pivots of a bucket per later round
 HUB_BLOCK = 512  # members compared with one copy of a pivot's set
+BLOCK_SHINGLES = 1 << 18  # shingles of the members of a block, about
 
 
 def bands_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
@@ -143,6 +144,79 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
             .mapInArrow(partial(_confirm, k=k, percent=percent), "a long, b long"))
 
 
+def _linked(row: tuple, block: tuple, key: int, percent: int, least: float) -> np.ndarray:
+    """Nodes of the ``block`` that are linked with the passing ``row`` and meet it first in bucket ``key``."""
+    node, comp, _, bands, sketch_, own = row
+    nodes, comps, minor, all_bands, sketches, n, who, hashes = block
+    equal = all_bands == bands
+    first = equal.argmax(axis=1)
+    here = (all_bands[np.arange(len(nodes)), first] == key) | ~equal.any(axis=1)
+    # Two members outside the main component pass by each other twice.
+    todo = here & (comps != comp) & (~minor | (nodes < node))
+    todo &= np.minimum(n, len(own)) * 100 >= np.maximum(n, len(own)) * percent
+    at = np.flatnonzero(todo)
+    todo[at] = (sketches[at] == sketch_).mean(axis=1) >= least
+    if not todo.any():
+        return nodes[:0]
+    chosen = todo[who]
+    value = hashes[chosen]
+    hit = own[np.minimum(np.searchsorted(own, value), len(own) - 1)] == value
+    both = np.bincount(who[chosen][hit], minlength=len(nodes))
+    return nodes[todo & (100 * both >= percent * (n + len(own) - both))]
+
+
+def _across(batches: Iterator[pa.RecordBatch], k: int, percent: int, least: float) -> Iterator[pa.RecordBatch]:
+    """Rows (key, salt, passing, node, comp, minor, bands, sketch, text) sorted by (key, salt, passing): the members of
+    a block, which are held, then the members outside the main component, which pass by. Gives the links (a, b)."""
+    at, held, block = None, [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key, salt, passing, node, comp, minor = (batch.column(c).to_pylist() for c in range(6))
+        bands = batch.column(6).flatten().to_numpy().reshape(batch.num_rows, -1)
+        sketches = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint16).reshape(batch.num_rows, -1)
+        _, hashes, size = shingle_sets([ascii_words(t) for t in texts_of(batch.column(8))], k)
+        sets = np.split(hashes, np.cumsum(size)[:-1])
+        a, b = [], []
+        for i, row in enumerate(zip(node, comp, minor, bands, sketches, sets)):
+            if (key[i], salt[i]) != at:
+                at, held, block = (key[i], salt[i]), [], None
+            if not passing[i]:
+                held.append(row)
+                continue
+            if not held:
+                continue
+            if block is None:
+                *cols, own = zip(*held)
+                n = np.array([len(x) for x in own])
+                block = (*(np.array(c) for c in cols), n, np.repeat(np.arange(len(n)), n), np.concatenate(own))
+            for other in _linked(row, block, key[i], percent, least).tolist():
+                a.append(min(other, node[i]))
+                b.append(max(other, node[i]))
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def links_across(members: DataFrame, side: DataFrame, k: int, percent: int, least: float) -> DataFrame:
+    """Links between members (key, node, n, comp) of one bucket that are in different components.
+
+    ``side`` has bands, sketch and text per node. A bucket of ``m`` members, ``s`` of them outside its main
+    component, costs ``m + s * ceil(m / HUB_BLOCK)`` rows (more blocks where the sets are large).
+    """
+    size = members.groupBy("key", "comp").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
+    several = size.groupBy("key").agg(
+        F.max_by("comp", F.struct("rows", "comp")).alias("main"), F.count("*").alias("comps"),
+        F.greatest(F.ceil(F.sum("rows") / HUB_BLOCK), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)).cast("int").alias("parts"),
+    ).where("comps > 1").drop("comps")
+    home = F.struct(F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("salt"), F.lit(0).alias("passing"))
+    tour = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: F.struct(i.alias("salt"), F.lit(1).alias("passing")))
+    minor = F.col("comp") != F.col("main")
+    places = F.when(minor, F.concat(F.array(home), tour)).otherwise(F.array(home))
+    rows = members.join(several, "key").select("key", "node", "comp", minor.alias("minor"), F.inline(places))
+    return (rows.join(side, "node").select("key", "salt", "passing", "node", "comp", "minor", "bands", "sketch", "text")
+            .repartition("key", "salt").sortWithinPartitions("key", "salt", "passing")
+            .mapInArrow(partial(_across, k=k, percent=percent, least=least), "a long, b long"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int = ROWS, miss: float = MISS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, n_links, component_id, kept.
 
@@ -183,27 +257,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
     found = saved(confirmed(likely(members.join(pivot, "key").where("node <> pivot")), texts, k, percent))
     links = copies.where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b")).union(found).distinct()
     roots = components(links)
-    rooted = members.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("comp"))
-    rooted = rooted.join(pivot.select("key", "pivot"), "key").withColumn("used", F.expr("node = pivot")).drop("pivot")
-    more = []
-    while True:
-        open_keys = rooted.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"),
-                                              F.count(F.when(~F.col("used"), 1)).alias("left"))
-        active = saved(rooted.join(open_keys.where("c0 <> c1 and left > 1").select("key"), "key"))
-        if active.isEmpty():
-            break
-        todo = active.where("not used").drop("used")
-        picked = todo.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(PIVOTS)).alias("slot")).agg(
-            F.min_by(F.struct("node", "n", "comp"), "node").alias("p")).select(
-            "key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.comp").alias("pc"))
-        more.append(likely(todo.join(picked, "key").where("node <> pivot and comp <> pc")))
-        rooted = active.join(picked.select("key", F.col("pivot").alias("node"), F.lit(True).alias("now")),
-                             ["key", "node"], "left").withColumn("used", F.col("used") | F.col("now").isNotNull()).drop("now")
-    if more:
-        late = saved(confirmed(saved(reduce(DataFrame.union, more).distinct()), texts, k, percent))
-        if not late.isEmpty():
-            links = links.union(late)
-            roots = components(links)
+    rooted = saved(members.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("comp")))
+    side = known.join(nodes, "doc_id").select(F.col("doc_id").alias("node"), "bands", "sketch").dropDuplicates(
+        ["node"]).join(texts, "node")
+    late = saved(links_across(rooted, side, k, percent, least).distinct())
+    if not late.isEmpty():
+        links = links.union(late)
+        roots = components(links)
 
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(
         F.count("*").alias("n_links"))
