@@ -186,6 +186,23 @@ ORACLE_SQL["numeric_text"] = (
       f"THEN TRY_CAST(replace(TRIM(text), ',', '') AS DOUBLE) END END AS value FROM v"
 )
 
+_YEAR_VARIANTS = {
+    "plain": "y",
+    "padded": "' ' || y || ' '",
+    "fraction": "y || '.0'",
+    "comma": "left(y, 2) || ',' || right(y, 2) || '.9'",
+    "exponent": "'2e3'",
+    "blank": "' '",
+    "too_long": "y || '00000000'",
+}
+ORACLE_SQL["year_text"] = (
+    "WITH c AS (SELECT c_custkey, CAST(1900 + c_custkey % 200 AS VARCHAR) AS y FROM customer),\n"
+    "v AS (" + " UNION ALL ".join(
+        f"SELECT c_custkey, '{k}' AS variant, {e} AS text FROM c" for k, e in _YEAR_VARIANTS.items())
+    + ")\nSELECT c_custkey, variant, text, CASE WHEN regexp_matches(TRIM(text), '^[+-]?[0-9]+([.][0-9]*)?$') "
+      "THEN TRY_CAST(split_part(TRIM(text), '.', 1) AS INTEGER) END AS year FROM v"
+)
+
 # --- Silver partition derivation on the raw feed ------------------------------
 
 SILVER_FEED = """

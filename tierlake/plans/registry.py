@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tierlake.functions.flows import is_export, is_import, is_production
 from tierlake.functions.periods import period_struct
-from tierlake.functions.text import blank_to_null, parse_number, upper_text
+from tierlake.functions.text import blank_to_null, parse_int, parse_number, upper_text
 from tierlake.operators import gold, quality
 from tierlake.operators.silver import invalid_partition, to_silver
 from tierlake.plans import validation
@@ -171,6 +171,22 @@ def q_numeric_text(spark, d):
     return _variants(c, numbers).select("c_custkey", "variant", "text", parse_number("text").alias("value"))
 
 
+def q_year_text(spark, d):
+    """Year texts to int: digits with an optional plain fraction; no comma, no exponent."""
+    c = table(spark, d, "customer").select("c_custkey")
+    year = (F.lit(1900) + F.col("c_custkey") % 200).cast("string")
+    years = {
+        "plain": year,
+        "padded": F.concat(F.lit(" "), year, F.lit(" ")),
+        "fraction": F.concat(year, F.lit(".0")),
+        "comma": F.concat(F.left(year, F.lit(2)), F.lit(","), F.right(year, F.lit(2)), F.lit(".9")),
+        "exponent": F.lit("2e3"),
+        "blank": F.lit(" "),
+        "too_long": F.concat(year, F.lit("00000000")),
+    }
+    return _variants(c, years).select("c_custkey", "variant", "text", parse_int("text").alias("year"))
+
+
 def _silver_feed(spark, d):
     return to_silver(raw_feed(spark, d))
 
@@ -337,6 +353,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "period_parse": q_period_parse,
     "canonical_text": q_canonical_text,
     "numeric_text": q_numeric_text,
+    "year_text": q_year_text,
     "silver_partition_counts": q_silver_partition_counts,
     "invalid_partition_counts": q_invalid_partition_counts,
     "silver_csv_roundtrip": q_silver_csv_roundtrip,
