@@ -12,8 +12,8 @@ Only buckets that can hold repeats are refined. Every string start belongs to
 the start run of its anchor, the leftmost smallest ``GRAM``-byte identifier
 among those inside the string; equal strings have equal anchors at equal
 offsets. Level 0 has one row per run (about ``LENGTH - GRAM`` / 2 bytes):
-the anchor's identifier is the initial bucket, and runs of equal content are
-solved at once. Level 1 splits the runs of the other shared buckets into blocks
+the anchor's identifier is the initial bucket, runs alone in theirs leave, and
+runs of equal content are solved at once. Level 1 splits the runs of the other shared buckets into blocks
 of ``BLOCK`` starts by the identifier of the bytes that all strings of the
 block share; level 2 compares the single strings of blocks that are shared but
 differ at the edges. Each level keeps one representative of equal rows, so a
@@ -34,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierlake.llm.common import mix, prepare, saved, texts_of
@@ -218,6 +218,16 @@ def _run(solved) -> object:
     return F.struct("lo", "hi", "anchor", solved.alias("solved")).alias("run")
 
 
+def _merged(found: DataFrame) -> DataFrame:
+    """The intervals of string starts, those of a document whose strings meet or overlap made one: what they cover
+    stays the same, and a long passage is one row instead of one for each anchor in it."""
+    by = Window.partitionBy("doc_id", "text_hash").orderBy("lo", "hi")
+    before = F.max("hi").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    apart = F.coalesce(F.col("lo") > before + LENGTH, F.lit(True)).cast("long")
+    return (found.withColumn("apart", apart).withColumn("part", F.sum("apart").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+            .groupBy("doc_id", "text_hash", "part").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")))
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes) per row of ``docs``."""
     spark = docs.sparkSession
@@ -230,8 +240,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     docs.mapInArrow(_runs, f"{ids}, key long, content long, lo int, hi int, anchor int").write.parquet(path)
     runs = spark.read.parquet(path)
 
+    # Runs alone in their bucket, most of a clean corpus, leave before anything wider than a count is grouped.
+    several = runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    runs = saved(runs.join(several, "key", "left_semi"))
     each = runs.groupBy("key", "content").agg(F.count("*").alias("n"))
-    shared = each.groupBy("key").agg(F.count("*").alias("kinds"), F.sum("n").alias("all_n")).where("all_n > 1")
+    shared = each.groupBy("key").agg(F.count("*").alias("kinds"), F.sum("n").alias("all_n"))
     shared = saved(each.join(shared.select("key", "kinds"), "key"))
     hits = saved(runs.join(shared, ["key", "content"]))
     place = F.struct("doc_id", "text_hash", "lo", "hi", "anchor")
@@ -259,6 +272,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     found = strings.where("not solved").join(twice, "name").select("doc_id", "text_hash", "lo", F.col("lo").alias("hi"))
     found = solved.select("doc_id", "text_hash", "lo", "hi").union(
         marked.where(alike & ~F.col("solved")).select("doc_id", "text_hash", "lo", "hi")).union(found)
-    told = _with_text(docs, found.select("doc_id", "text_hash", F.struct("lo", "hi").alias("run")), "left")
+    told = _with_text(docs, _merged(found).select("doc_id", "text_hash", F.struct("lo", "hi").alias("run")), "left")
     return told.select("doc_id", "text", "runs").mapInArrow(
         _cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
