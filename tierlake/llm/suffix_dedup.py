@@ -241,7 +241,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     runs = spark.read.parquet(path)
 
     # Runs alone in their bucket, most of a clean corpus, leave before anything wider than a count is grouped.
-    several = runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    # The counts are written first: a join straight from a shuffle can split a hot key, one behind an aggregate can't.
+    several = saved(runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
     runs = saved(runs.join(several, "key", "left_semi"))
     each = runs.groupBy("key", "content").agg(F.count("*").alias("n"))
     shared = each.groupBy("key").agg(F.count("*").alias("kinds"), F.sum("n").alias("all_n"))
