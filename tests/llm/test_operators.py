@@ -4,6 +4,7 @@ import hashlib
 import math
 import re
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -290,6 +291,27 @@ def test_schedule_windows(weights):
         assert k * 1000 // share[i] <= slot < -(-(k + 1) * 1000 // share[i])
 
 
+@pytest.mark.parametrize("weights,blocks", [
+    ([1 / 3] * 3, [20_000] * 3), ([0.5, 0.4999, 0.0001], [30_000, 30_000, 10]), ([math.sqrt(k) for k in range(1, 22)], [4_000] * 21)])
+def test_deal_follows_the_given_weights_over_many_periods(weights, blocks):
+    total, taken, last, kept = sum(map(Fraction, weights)), [0] * len(weights), -1, 0
+    share = [Fraction(w) / total for w in weights]
+    for slot, i, k, on_target in mixing.deal(weights, blocks):
+        assert slot > last and k == taken[i] and math.floor(k / share[i]) <= slot < math.ceil((k + 1) / share[i])
+        assert not on_target or slot == last + 1
+        taken[i], last, kept = k + 1, slot, kept + on_target
+        if on_target and not slot % 97:
+            assert all(abs(t - (slot + 1) * w) < 1 for t, w in zip(taken, share))
+    assert taken == blocks and kept > 30 * mixing.PERIOD
+
+
+def test_mixing_dealt_in_parts(spark, docs, monkeypatch):
+    whole = sorted(map(tuple, mixing.mixed(docs.select("doc_id", "source")).collect()))
+    monkeypatch.setattr(mixing, "PART", 7)
+    monkeypatch.setattr(mixing, "MAX_BROADCAST", 7)
+    assert sorted(map(tuple, mixing.mixed(docs.select("doc_id", "source")).collect())) == whole
+
+
 # --- token counts ---
 
 

@@ -1,19 +1,23 @@
 """Mixing sources to target weights by Pfair scheduling, in DataFrame functions only.
 
 Each source's documents, in hashed order, form blocks of ``BLOCK`` documents.
-The target weights become whole shares of a period of slots (largest
-remainder, one slot at least). Block k of a source with share w of period P is
-released at slot floor((k - 1) P / w) and due before ceil(k P / w); in each
-slot the released block with the earliest deadline is taken. Every block then
-lies in its window, so at every slot each source is less than one block away
-from its target as long as it has documents left (``on_target``). The order
-repeats with the period, so one period's table, which depends on the weights
-alone, places all blocks.
+Block k (from 1) of a source with share w of the target weights is released at
+slot floor((k - 1) / w) and due before ceil(k / w); in each slot the released
+block with the earliest deadline is taken. The shares are exact fractions,
+never rounded to a period, and every block of the whole run is dealt, so each
+block lies in its window and at every slot each source is less than one block
+away from its target as long as it has documents left. ``on_target`` marks the
+slots before the first one that a source without documents should have filled.
+
+The driver deals the blocks one after the other (a heap with a row per source,
+a few microseconds per block) and hands them over in parts of ``PART`` slots,
+so that it holds one part at a time.
 
 A document's rank in its source is its offset among hash buckets plus its row
 number in its own bucket; buckets have about ``BUCKET_ROWS`` rows whatever the
 size of the source, so a source with most of the rows is sorted in many tasks.
-No row is dropped or repeated: a source that runs out leaves its slots empty.
+No row is dropped or repeated: after a source has run out, a slot in which no
+block of another is released stays empty.
 
 Edge cases. A null source is a source of its own; null ids are ordered like
 others; equal rows take neighbouring ranks. An empty table stays empty. With
@@ -25,14 +29,20 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Iterator
+from fractions import Fraction
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import fresh, prepare
+from tierlake.llm.common import fresh, prepare, saved
 
 BLOCK = 32  # documents
-PERIOD = 1_000  # slots; more if there are more than a tenth as many sources
+PERIOD = 1_000  # slots of a period of ``schedule``
+PART = 1_000_000  # slots on the driver at once
+MAX_BROADCAST = 1_000_000  # blocks of the schedule
 BUCKET_ROWS = 20_000
 ALPHA = 0.5  # default weights: document counts to this power
 MAX_SOURCES = 100_000  # sources have one row each on the driver
@@ -54,28 +64,56 @@ def shares(weights: list[float], period: int) -> list[int]:
     return out
 
 
-def schedule(share: list[int]) -> list[tuple[int, int]]:
-    """(source, its k from 0) of each slot of one period, earliest deadline first among released blocks."""
-    period = sum(share)
+def deal(weights: list[float], blocks: list[int]) -> Iterator[tuple[int, int, int, bool]]:
+    """(slot, source, its k from 0, whether every source has kept its slots so far) of all blocks, earliest
+    deadline first among released blocks. The first source to run out leaves its later slots to others or empty."""
+    exact = [Fraction(w) for w in weights]
+    unit = math.lcm(*(w.denominator for w in exact))
+    share = [int(w * unit) for w in exact]
+    whole = sum(share)
     waiting = [(0, i) for i in range(len(share))]  # release, source
     heapq.heapify(waiting)
     ready: list[tuple[int, int]] = []  # deadline, source
     taken = [0] * len(share)
-    out = []
-    for slot in range(period):
+    slot, left, on_target = 0, sum(blocks), True
+    while left:
         while waiting and waiting[0][0] <= slot:
             i = heapq.heappop(waiting)[1]
-            heapq.heappush(ready, (-(-(taken[i] + 1) * period // share[i]), i))
+            heapq.heappush(ready, (-(-(taken[i] + 1) * whole // share[i]), i))
+        if not ready:
+            slot = waiting[0][0]
+            continue
         i = heapq.heappop(ready)[1]
-        out.append((i, taken[i]))
+        if taken[i] >= blocks[i]:  # nothing left of it
+            on_target = False
+            continue
+        yield slot, i, taken[i], on_target
         taken[i] += 1
-        if taken[i] < share[i]:
-            heapq.heappush(waiting, (taken[i] * period // share[i], i))
-    return out
+        left -= 1
+        slot += 1
+        if on_target or taken[i] < blocks[i]:
+            heapq.heappush(waiting, (taken[i] * whole // share[i], i))
 
 
-def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, block: int = BLOCK,
-          period: int = PERIOD) -> DataFrame:
+def schedule(share: list[int]) -> list[tuple[int, int]]:
+    """(source, its k from 0) of each slot of one period of whole shares."""
+    return [(i, k) for _, i, k, _ in deal(share, share)]
+
+
+def _dealt(spark: SparkSession, weights: list[float], blocks: list[int]) -> DataFrame:
+    """The schedule as rows (mix_source: index, mix_k, mix_slot, mix_on), at most ``PART`` of them on the driver."""
+    names = ["mix_slot", "mix_source", "mix_k", "mix_on"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+    rows = deal(weights, blocks)
+    parts = []
+    while part := [r for _, r in zip(range(PART), rows)]:
+        parts.append(spark.createDataFrame(pa.table([pa.array(c, t) for c, t in zip(zip(*part), types)], names)))
+        if sum(blocks) > PART:
+            parts[-1] = saved(parts[-1])
+    return reduce(DataFrame.union, parts)
+
+
+def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, block: int = BLOCK) -> DataFrame:
     """``docs`` with block (of the source, from 0), slot, place (in the block) and on_target; ordering by
     (slot, place) is the mixture. New names that clash get a trailing underscore."""
     spark = docs.sparkSession
@@ -95,16 +133,9 @@ def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, block
         target = [weights.get(s) or rest for s in n]
     else:
         target = [c ** ALPHA for c in n.values()]
-    share = shares(target, max(period, 10 * len(n)))
-    whole = sum(share)
     names = list(n)
-    slots = spark.createDataFrame(
-        [(names[i], k, slot, share[i]) for slot, (i, k) in enumerate(schedule(share))],
-        "mix_source string, mix_k long, mix_slot long, mix_share long")
-    # the first slot that a source with no block left should have filled
     blocks = [-(-c // block) for c in n.values()]
-    first = {(i, k): slot for slot, (i, k) in enumerate(schedule(share))}
-    end = min(blocks[i] // share[i] * whole + first[i, blocks[i] % share[i]] for i in range(len(names)))
+    slots = _dealt(spark, target, blocks)
 
     buckets = max(1, math.ceil(sum(n.values()) / BUCKET_ROWS))
     taken = list(docs.columns)
@@ -125,13 +156,12 @@ def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, block
     ranked = ranked.join(F.broadcast(offsets) if len(n) * buckets <= 200_000 else offsets,
                          ranked[src].eqNullSafe(F.col("o_src")) & (ranked[bucket] == F.col("o_bucket")))
     ranked = ranked.withColumn(rank, F.col(before) + F.col(group) - 1)
-    size = spark.createDataFrame([(s, w) for s, w in zip(names, share)], "w_source string, w_share long")
-    ranked = ranked.join(F.broadcast(size), F.col(src).eqNullSafe(F.col("w_source")))
+    index = spark.createDataFrame(list(enumerate(names)), "w_index long, w_source string")
+    ranked = ranked.join(F.broadcast(index), F.col(src).eqNullSafe(F.col("w_source")))
     ranked = ranked.withColumn(own("mix_block"), F.floor(F.col(rank) / block))
     own_block = taken[-1]
-    ranked = ranked.join(F.broadcast(slots), F.col(src).eqNullSafe(F.col("mix_source")) & (
-        F.pmod(F.col(own_block), F.col("w_share")) == F.col("mix_k")))
-    slot = F.floor(F.col(own_block) / F.col("w_share")) * whole + F.col("mix_slot")
+    ranked = ranked.join(F.broadcast(slots) if sum(blocks) <= MAX_BROADCAST else slots,
+                         (F.col("w_index") == F.col("mix_source")) & (F.col(own_block) == F.col("mix_k")))
     return ranked.select(
-        *(docs[c] for c in docs.columns), F.col(own_block).cast("long").alias(new["block"]), slot.cast("long").alias(new["slot"]),
-        (F.col(rank) % block).cast("long").alias(new["place"]), (slot < end).alias(new["on_target"]))
+        *(docs[c] for c in docs.columns), F.col(own_block).cast("long").alias(new["block"]), F.col("mix_slot").alias(new["slot"]),
+        (F.col(rank) % block).cast("long").alias(new["place"]), F.col("mix_on").alias(new["on_target"]))
