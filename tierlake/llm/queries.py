@@ -42,7 +42,7 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixed(table(spark, sf_dir, "documents").select("doc_id", "source"))
+    return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
