@@ -215,6 +215,16 @@ def test_pii_base_and_more(spark, texts, docs):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
+def test_pii_obfuscated_addresses_and_numbers_without_plus(spark):
+    want = {"write to a [at] b [dot] com now": "write to [EMAIL] now", "jo.doe(at)mail.example.org": "[EMAIL]",
+            "J {dot} Doe [AT] x [DOT] co [DOT] uk": "[EMAIL]", "tel: 212-555-0100 today": "tel: [PHONE] today",
+            "phone no. 030 123 45 67": "phone no. [PHONE]", "Fax (212) 555-0100.": "Fax [PHONE]."}
+    want |= {t: t for t in ("meet me (at) noon. then go", "hotel 12 rooms", "call 192.168.100.999 x",
+                            "call 2024-01-15 10 people", "1234 5678 9012 3456")}
+    got = by_id(pii.redact(spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")))
+    assert [got[i]["text"] for i in range(len(want))] == list(want.values())
+
+
 def test_pii_redaction_and_odd_rows(odd, none):
     got = by_id(pii.redact(odd))
     assert got[8]["text"] == "é😀 日本語 [PHONE] [EMAIL] [IP]" and got[8]["n_chars"] == len(got[8]["text"])

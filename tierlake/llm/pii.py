@@ -7,9 +7,12 @@ obfuscated addresses, keys and tokens. Each candidate has small integer
 features of its format (length, digit share, letter case, separators, distinct
 characters, checks) and its context (characters around it, cue words). Boosted
 trees are fitted to weak labels: a candidate that a checked base span of its
-kind covers, or a key that an assignment or a known prefix introduces. The
-thresholds are calibrated per kind on a held-out fold, and the candidates
-above them become spans beside the base.
+kind covers, an obfuscated address that is one when unfolded, a number of 9 to
+15 digits after a phone cue, or a key that an assignment or a known prefix
+introduces. Plausible candidates without a label (their check holds) are left
+out of the fit; the others are its negatives. The thresholds are calibrated per
+kind on a held-out fold, and the candidates above them become spans beside the
+base, as do unfolded addresses and cued numbers whatever the model.
 
 Candidates of all documents are summed into one row per combination of
 features before they are fitted: their number is bounded by the product of the
@@ -48,14 +51,19 @@ OCTET = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 
 # Candidate generators; the last group holds the character after the candidate.
 AFTER = r"(?=([\s\S]?))"
+AT, DOT = r" {0,2}(?:\[at\]|\(at\)|\{at\}) {0,2}", r" {0,2}(?:\[dot\]|\(dot\)|\{dot\}) {0,2}"
+PHONE_CUE = r"(?<![A-Za-z])(?:tele)?(?:phone|tel|call|fax|mobile)(?:[ .]{1,2}(?:no|nr|number))?[^0-9A-Za-z]{0,4}"
 GENERATORS = {
-    "email": r"[A-Za-z0-9._%+-]{1,64}+ {0,2}(?:\[at\]|\(at\)|\{at\}) {0,2}[A-Za-z0-9-]++ {0,2}(?:\.|\[dot\]|\(dot\)|\{dot\}) {0,2}[A-Za-z]{2,}+",
+    "email": rf"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}+(?:{DOT}[A-Za-z0-9_%+-]{{1,64}}+){{0,3}}{AT}[A-Za-z0-9-]++"
+             rf"(?:\.| {{1,2}}\. {{1,2}}|{DOT})[A-Za-z]{{2,}}+(?:(?:\.|{DOT})[A-Za-z]{{2,}}+){{0,4}}",
     "ip": r"(?<![0-9])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9])",
     "card": r"(?<![0-9])[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{1,7}(?![0-9])",
-    "phone": r"(?<![0-9])(?:\+?[0-9]{1,3}[ .-])?+\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
+    "phone": r"(?<![0-9])(?:\+?[0-9]{1,3}[ .-])?+\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])"
+             rf"|(?=[(0-9])(?<=(?i:{PHONE_CUE}))(?![0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}(?![0-9.])|[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}(?![0-9]))"
+             r"\(?[0-9](?:[ ().-]{0,2}[0-9]){8,14}(?![0-9])",
     "secret": r"(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]{14})(?:AKIA[A-Z0-9]{16}|[A-Za-z_-]{0,60}+[0-9][A-Za-z0-9_-]*+)",
 }
-GENERATOR_GATE = {"email": r"[\[({]at[\])}]", "ip": r"[0-9]\.[0-9]", "card": "[0-9]{4}", "phone": "[0-9]{4}",
+GENERATOR_GATE = {"email": r"(?i)[\[({]at[\])}]", "ip": r"[0-9]\.[0-9]", "card": "[0-9]{4}", "phone": "[0-9]{4}|(?i:phone|tel|call|fax|mobile)",
                   "secret": "[A-Za-z0-9_-]{14}"}
 MIN_SECRET = 14
 HIT_BLOCK = 100
@@ -157,9 +165,16 @@ def _candidate(kind: str, h: Column) -> Column:
     check = {"ip": hit.rlike(rf"^{OCTET}\.{OCTET}\.{OCTET}\.{OCTET}$"), "card": _luhn(_digits(hit)),
              "phone": digits.between(9, 15)}.get(kind, F.lit(False))
     cue = F.lit(False) if kind == "secret" else h["before"].rlike(CUES)
-    known = h["before"].rlike(SECRET_CUES) | F.startswith(hit, F.lit(SECRET_PREFIX)) if kind == "secret" else F.lit(False)
+    known = F.lit(False)
+    if kind == "secret":
+        known = h["before"].rlike(SECRET_CUES) | F.startswith(hit, F.lit(SECRET_PREFIX))
+    elif kind == "email":
+        known = F.regexp_replace(F.regexp_replace(hit, f"(?i){AT}", "@"), f"(?i){DOT}", ".").rlike(f"^{BASE['email']}$")
+    elif kind == "phone":
+        known = h["before"].rlike(f"(?i){PHONE_CUE}$") & check
+    unsure = F.lit(True) if kind == "email" else check
     return F.struct(
-        h["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), h["end"].alias("end"), known.alias("known"),
+        h["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), h["end"].alias("end"), known.alias("known"), unsure.alias("unsure"),
         F.least(F.floor(n / 4), F.lit(10)).cast("int").alias("length"),
         F.floor(digits * 5 / n).cast("int").alias("digit_share"),
         (hit.rlike("[a-z]").cast("int") + 2 * hit.rlike("[A-Z]").cast("int")).alias("letter_case"),
@@ -257,6 +272,7 @@ def _tree_sql(tree, x: list[Column]) -> Column:
 def fit(candidates: DataFrame) -> tuple[float, list, dict[int, float]] | None:
     """Model of ``candidates`` (doc_id, pii_base, pii_more): prior, trees, and the margin threshold per kind."""
     c = candidates.select("doc_id", "pii_base", F.explode("pii_more").alias("c"))
+    c = c.where(_label(F.col("pii_base"), F.col("c")) | ~F.col("c.unsure"))
     c = c.select((F.coalesce(fold(F.col("doc_id"), FOLDS), F.lit(1)) == 0).alias("held"),
                  _label(F.col("pii_base"), F.col("c")).cast("long").alias("label"), *(F.col(f"c.{f}") for f in FEATURES))
     table = c.groupBy("held", *FEATURES).agg(F.count("*").alias("n"), F.sum("label").alias("pos")).collect()
@@ -282,16 +298,19 @@ def fit(candidates: DataFrame) -> tuple[float, list, dict[int, float]] | None:
 
 def all_spans(base: Column, more: Column, model) -> Column:
     """Base spans and the selected candidates that no base span covers, sorted by start, kind and end."""
-    if model is None or not model[2]:
-        return base
-    prior, trees, thresholds = model
+    prior, trees, thresholds = model or (0.0, [], {})
+
+    def checked(c: Column) -> Column:
+        return c["known"] & c["kind"].isin(KINDS.index("email"), KINDS.index("phone"))
 
     def chosen(c: Column) -> Column:
+        if not thresholds:
+            return checked(c)
         margin = sum((_tree_sql(t, [c[f] for f in FEATURES]) for t in trees), F.lit(prior))
         need = F.lit(None).cast("double")
         for kind, t in thresholds.items():
             need = F.when(c["kind"] == kind, F.lit(t)).otherwise(need)
-        return F.coalesce(margin >= need, F.lit(False))
+        return F.coalesce(margin >= need, F.lit(False)) | checked(c)
 
     kept = F.filter(more, lambda c: chosen(c))
     kept = F.filter(kept, lambda c: ~F.exists(base, lambda b: (b["start"] <= c["start"]) & (b["end"] >= c["end"])))
