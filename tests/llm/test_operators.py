@@ -87,6 +87,23 @@ def test_quality_odd_rows(odd, none):
     assert quality_rules.score(none).count() == 0
 
 
+def prose(rng, n):
+    words = ["".join(rng.choice(list("abcdeghilmnorstu"), int(rng.integers(2, 10)))) for _ in range(n)]
+    return " ".join(w.capitalize() if i % 11 == 0 else w + "." if i % 11 == 10 else w for i, w in enumerate(words))
+
+
+def test_quality_judges_small_groups(spark):
+    rng = np.random.default_rng(5)
+    rows = [(prose(rng, 120), lang, source, "good") for lang, source, n in (("en", "big", 500), ("en", "tiny", 30), ("xx", "rare", 30)) for _ in range(n)]
+    rows += [(prose(rng, 60).replace(" ", " | "), lang, source, "junk") for lang, source in (("en", "tiny"), ("xx", "rare")) for _ in range(2)]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string, source string, label string")
+    for part in (docs, docs.where("lang = 'xx'")):  # a table with large groups, and one under MIN_ROWS
+        n = Counter(r["label"] for r in part.select("label").collect())
+        kept = Counter(r["label"] for r in quality_rules.keep_good(part).collect())
+        assert kept["junk"] == 0 and kept["good"] > 0.97 * n["good"]
+        assert quality_rules.score(part).where("outlier_d2 is null").count() == 0
+
+
 def test_chi_square():
     assert quality_rules.chi2_quantile(0.975, 2) == pytest.approx(-2 * math.log(0.025))
     assert quality_rules.consistency(1 - 1e-12, 3) == pytest.approx(1, abs=1e-6)

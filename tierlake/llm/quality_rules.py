@@ -12,8 +12,9 @@ squared distance exceeds a far chi-square quantile are rejected.
 Each step is a pair of Spark aggregates over the light statistics table
 (a distance quantile, then moments of the rows within it), so a group with a
 third of all rows only ever meets partial aggregates; nothing is sampled.
-Groups under ``MIN_ROWS`` rows are pooled by language, then over all; if the
-pool is still smaller, the method rejects none of its rows.
+Groups under ``MIN_ROWS`` rows are judged by a model of all rows of their
+language, or of the whole table if the language has fewer than ``MIN_ROWS``;
+the floors of the scatter keep the estimate regular in a table of any size.
 
 Edge cases. Null, empty and white-space texts have zero counts and fail the
 base rules. Null languages or sources are groups of their own. Equal rows get
@@ -219,22 +220,26 @@ def fit(rows: DataFrame) -> DataFrame:
 
 
 def _models(stats: DataFrame, lang: str, source: str, failed: str) -> DataFrame:
-    """The model of each (language, source): its own, its language's rest, the common rest, or none (null)."""
+    """The model that judges each (language, source): its own, its language's or the table's; and all models that
+    its rows are fitted to (``fits``)."""
     own = F.concat(F.lit("own "), F.to_json(F.struct(F.col("lang"), F.col("source"))))
-    by_lang = F.concat(F.lit("rest "), F.to_json(F.struct(F.col("lang"))))
+    by_lang = F.concat(F.lit("lang "), F.to_json(F.struct(F.col("lang"))))
     n = saved(stats.where(~F.col(failed)).groupBy(F.col(lang).alias("lang"), F.col(source).alias("source")).agg(F.count("*").alias("n")))
-    rest = saved(n.where(F.col("n") < MIN_ROWS).groupBy("lang").agg(F.sum("n").alias("n")))
-    last = rest.where(F.col("n") < MIN_ROWS).agg(F.sum("n").alias("n_all"))
-    return n.alias("n").join(bounded(rest.select(F.col("lang").alias("l"), F.col("n").alias("n_lang")), MAX_MODELS),
-                             F.col("lang").eqNullSafe(F.col("l")), "left").join(F.broadcast(last), F.lit(True), "left").select(
-        "lang", "source",
-        F.when(F.col("n") >= MIN_ROWS, own).when(F.col("n_lang") >= MIN_ROWS, by_lang)
-        .when(F.col("n_all") >= MIN_ROWS, F.lit("rest of all")).alias("model"))
+    small = F.col("n") < MIN_ROWS
+    langs = saved(n.groupBy("lang").agg(F.sum("n").alias("n_lang"), F.max(small).alias("any_small")))
+    whole = langs.agg(F.coalesce(F.max(F.col("any_small") & (F.col("n_lang") < MIN_ROWS)), F.lit(False)).alias("all_used"))
+    joined = n.join(bounded(langs.withColumnRenamed("lang", "l"), MAX_MODELS), F.col("lang").eqNullSafe(F.col("l"))).join(
+        F.broadcast(whole), F.lit(True))
+    enough = F.col("n_lang") >= MIN_ROWS
+    return joined.select(
+        "lang", "source", F.when(~small, own).when(enough, by_lang).otherwise("all").alias("model"),
+        F.array_compact(F.array(F.when(~small, own), F.when(F.col("any_small") & enough, by_lang),
+                                F.when(F.col("all_used"), F.lit("all")))).alias("fits"))
 
 
 def _judge(stats: DataFrame, models: DataFrame, params: DataFrame, lang: str, source: str, names: dict[str, str]) -> DataFrame:
     """``stats`` with the columns of its model's parameters and ``d2`` (null without a model)."""
-    models = models.join(params, "model", "left").withColumnsRenamed({"lang": "model_lang", "source": "model_source"})
+    models = models.drop("fits").join(params, "model", "left").withColumnsRenamed({"lang": "model_lang", "source": "model_source"})
     models = bounded(saved(models), MAX_MODELS)
     joined = stats.join(models, stats[lang].eqNullSafe(models["model_lang"]) & stats[source].eqNullSafe(models["model_source"]), "left")
     return joined.withColumn("d2", distance([stats[names[c]] for c in DIMS]))
@@ -245,7 +250,7 @@ def _fitted(stats: DataFrame, lang: str, source: str, names: dict[str, str]) ->
     rows = stats.where(~F.col(names["base_failed"])).select(
         F.col(lang).alias("l"), F.col(source).alias("s"), *(F.col(names[c]).alias(c) for c in DIMS))
     rows = rows.join(bounded(models, MAX_MODELS), rows["l"].eqNullSafe(models["lang"]) & rows["s"].eqNullSafe(models["source"]))
-    return models, fit(rows.where("model is not null").select("model", *DIMS))
+    return models, fit(rows.select(F.explode("fits").alias("model"), *DIMS))
 
 
 def score(docs: DataFrame, tail: float = TAIL) -> DataFrame:
