@@ -104,6 +104,17 @@ def test_quality_judges_small_groups(spark):
         assert quality_rules.score(part).where("outlier_d2 is null").count() == 0
 
 
+def test_quality_rejects_moderate_junk(spark):
+    rng = np.random.default_rng(6)
+    rows = [prose(rng, 120) for _ in range(300)]
+    rows.append(" ".join(w for w in prose(rng, 60).split() for _ in range(2)))  # every word twice
+    rows.append("\n".join(["one short line"] * 2 + [f"{w} x" for w in prose(rng, 9).split()] + ["again so"] * 40))
+    docs = spark.createDataFrame([(i, t, "en", "a") for i, t in enumerate(rows)], "doc_id long, text string, lang string, source string")
+    got = by_id(quality_rules.score(docs))
+    assert not got[300]["base_failed"] and not got[300]["kept"] and not got[301]["kept"]
+    assert sum(got[i]["kept"] for i in range(300)) > 294
+
+
 def test_chi_square():
     assert quality_rules.chi2_quantile(0.975, 2) == pytest.approx(-2 * math.log(0.025))
     assert quality_rules.consistency(1 - 1e-12, 3) == pytest.approx(1, abs=1e-6)

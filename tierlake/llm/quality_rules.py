@@ -3,7 +3,8 @@
 Every text gets whole-text counts and a vector of transformed statistics
 (variance-stabilised shares, a log word length, each shrunk towards the value
 of ordinary prose by a few pseudo-counts, so that short texts are not outliers
-by chance). Per (language, source) the location and scatter of the vectors come
+by chance): symbols, capitals, punctuation, word length, repeated passages and
+lines, words equal to the one before. Per (language, source) the location and scatter of the vectors come
 from the ``SHARE`` of rows whose Mahalanobis distances are smallest: two
 deterministic starts (median and MAD; mean and covariance) are improved by
 concentration steps, the smaller determinant wins and is reweighted. Rows whose
@@ -41,14 +42,14 @@ WINDOW = 8
 SHARE = 0.75  # of a group's rows that carry the estimate
 STEPS = 3
 MIN_ROWS = 200
-TAIL = 1e-7  # of the chi-square distribution beyond the cutoff
+TAIL = 1e-3  # of the chi-square distribution beyond the cutoff
 MAX_MODELS = 100_000  # broadcast bound (rows of about 300 bytes)
 
 SYMBOLS = np.frombuffer(b"#*$%&|<>", np.uint8)
 PUNCT = np.array([c for c in range(33, 127) if not chr(c).isalnum() and c not in set(SYMBOLS.tolist())])
-DIMS = ["symbols", "upper", "punct", "word_length", "repeats", "dup_lines"]
+DIMS = ["symbols", "upper", "punct", "word_length", "repeats", "dup_lines", "neighbours"]
 #: A standard deviation that every estimate has at least: deviations well below it do not matter for quality.
-FLOOR = [0.04, 0.08, 0.08, 0.12, 0.16, 0.25]
+FLOOR = [0.04, 0.08, 0.08, 0.12, 0.12, 0.15, 0.08]
 PSEUDO_CHARS, PSEUDO_WORDS, PSEUDO_LINES = 100, 30, 6
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 STATS = ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, " + ", ".join(f"{c} double" for c in DIMS)
@@ -87,6 +88,8 @@ def statistics(text: bytes) -> tuple:
     lines = [line for line in text.split(b"\n") if line.strip()]
     n_dup = len(lines) - len(set(lines))
     n_repeat = repeat_words(words)
+    lower = text.lower().split()
+    n_neighbours = sum(map(bytes.__eq__, lower, lower[1:]))
     failed = n < MIN_WORDS or 100 * n_repeat > MAX_REPEAT_PERCENT * n
 
     def share(part: int, whole: int, pseudo: int) -> float:
@@ -96,7 +99,8 @@ def statistics(text: bytes) -> tuple:
             share(n_symbols, chars, PSEUDO_CHARS), share(int(hist[65:91].sum()), chars, PSEUDO_CHARS),
             share(int(hist[PUNCT].sum()), chars, PSEUDO_CHARS),
             math.log((word_chars + 6 * PSEUDO_WORDS) / (n + PSEUDO_WORDS)),
-            share(n_repeat, n, PSEUDO_WORDS), share(n_dup, len(lines), PSEUDO_LINES))
+            share(n_repeat, n, PSEUDO_WORDS), share(n_dup, len(lines), PSEUDO_LINES),
+            share(n_neighbours, n, PSEUDO_WORDS))
 
 
 def _with_statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
