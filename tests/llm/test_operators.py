@@ -198,6 +198,22 @@ def test_leaks(spark, docs, texts, odd, none):
     assert decontaminate.leaks(docs, benchmark.where("false")).count() == 0
 
 
+def test_leaks_of_edited_copies_of_a_hot_short_item(spark):
+    rng = np.random.default_rng(7)
+    item = [f"w{i}" for i in range(15)]
+    rows = []
+    for i in range(400):
+        text = [f"x{j}" for j in rng.integers(0, 3000, 60)]
+        if i < 200:  # three of 15 words changed: some three neighbours are always left
+            cut = set(rng.choice(15, 3, replace=False).tolist())
+            text[30:30] = [f"y{j}" if j in cut else w for j, w in enumerate(item)]
+        rows.append((i, " ".join(text)))
+    benchmark = spark.createDataFrame([(5, " ".join(item))], "item_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"] for r in decontaminate.leaks(docs, benchmark).collect() if r["score"] >= 0.5} >= set(range(200))
+    assert decontaminate.drop_leaks(docs, benchmark).count() == 200
+
+
 def test_alignment_equals_full_matrix():
     rng = np.random.default_rng(1)
     for _ in range(50):

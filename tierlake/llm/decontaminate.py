@@ -1,10 +1,11 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Seeds. Every ``N``-gram of words of a test item whose document frequency in
-the corpus is low is a seed; the rarer half of an item's own n-grams always
-are, so that an item copied into very many documents keeps its seeds. The
-frequencies are counted over all documents. Documents with ``MIN_SEEDS``
-seeds of an item (all of them, if it has fewer) within a window of the item's
+Seeds. Every ``N``-gram of words of a test item whose document frequency
+outside of the item's own copies is low is a seed, so that an item copied into
+very many documents keeps its seeds; so is the rarer half of an item's own
+n-grams. A document with ``COPY_SHARE`` of an item's n-grams counts as a copy.
+The frequencies are counted over all documents. Documents with ``MIN_SEEDS``
+seeds of an item (one for items under ``SHORT`` words) within a window of the item's
 length are candidates; each run of such seeds is aligned with the item by
 Smith-Waterman over words (match 2, mismatch -1, gap -1), and the passage is a
 leak if its score reaches ``MIN_SCORE`` of the item's own score, which edited
@@ -24,6 +25,7 @@ rows with the same id are judged alike. Extra columns are ignored by
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -38,7 +40,10 @@ from tierlake.llm.common import prepare
 
 N = 3
 MIN_SEEDS = 3
+SHORT = 25  # words: shorter items need one seed
 RARE_SHARE = 1e-3  # of the documents: n-grams below this frequency are rare whatever the item
+MIN_RARE = 20  # documents
+COPY_SHARE = 0.2  # and MIN_SEEDS n-grams
 MIN_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK_WORDS = 500_000  # words of test items broadcast at once
@@ -68,7 +73,9 @@ class Items:
             for g in set(self.keys(words).tolist()):
                 self.grams[g].append(i)
         self.known = np.array(sorted(self.grams), np.int64)
-        self.need = [min(MIN_SEEDS, len(set(self.keys(w).tolist()))) for w in self.words]
+        self.size = [len(set(self.keys(w).tolist())) for w in self.words]
+        self.need = [1 if len(w) < SHORT else min(MIN_SEEDS, n) for w, n in zip(self.words, self.size)]
+        self.copy = [min(n, max(MIN_SEEDS, math.ceil(COPY_SHARE * n))) for n in self.size]
 
     def keys(self, words: np.ndarray) -> np.ndarray:
         """Exact keys of the n-grams (base-``base`` numbers); shorter sequences are one key, padded with 0."""
@@ -160,8 +167,10 @@ def find(text: str | None, items: Items, seeds: np.ndarray, min_score: float) ->
             n_seeds = len({g for _, g in hits[low:high]})
             if n_seeds >= items.need[i]:
                 first, last = max(0, hits[low][0] - reach), hits[high - 1][0] + N + reach
-                score, s, e = align(item, words[first:last])
-                best = max(best, (score, -(first + s), first + e, n_seeds))
+                passage = words[first:last]
+                if np.isin(item, passage).sum() >= min_score * len(item):  # else no alignment reaches it
+                    score, s, e = align(item, passage)
+                    best = max(best, (score, -(first + s), first + e, n_seeds))
             low = high
         share = best[0] / (MATCH * len(item))
         if best[0] and share >= min_score:
@@ -176,8 +185,14 @@ def _frequencies(batches: Iterator[pa.RecordBatch], items) -> Iterator[pa.Record
     for batch in batches:
         for text in batch.column(0).to_pylist():
             docs += 1
-            for g in np.unique(own.text_keys(text)[2]).tolist():
-                count[g] += 1
+            grams = np.unique(own.text_keys(text)[2]).tolist()
+            held: dict[int, int] = defaultdict(int)
+            for g in grams:
+                for i in own.grams[g]:
+                    held[i] += 1
+            for g in grams:  # not those of a copied item
+                if all(held[i] < own.copy[i] for i in own.grams[g]):
+                    count[g] += 1
     yield pa.RecordBatch.from_arrays([pa.array([-1, *count], pa.int64()), pa.array([docs, *count.values()], pa.int64())],
                                      ["gram", "docs"])
 
@@ -215,11 +230,11 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
 
 
 def _seeds(docs: DataFrame, items, spark: SparkSession) -> np.ndarray:
-    """The rare n-grams of a block, by their document frequencies in the corpus (at most one row per n-gram)."""
+    """The rare n-grams of a block, by their document frequencies outside of copies (at most one row per n-gram)."""
     rows = (docs.select("text").mapInArrow(partial(_frequencies, items=items), "gram long, docs long")
             .groupBy("gram").agg(F.sum("docs").alias("docs")).collect())
     seen = {r["gram"]: r["docs"] for r in rows}
-    rare = max(1, int(seen.pop(-1, 0) * RARE_SHARE))
+    rare = max(MIN_RARE, int(seen.pop(-1, 0) * RARE_SHARE))
     own = Items(items.value)
     seeds = {g for g in own.grams if seen.get(g, 0) <= rare}
     for words in own.words:
