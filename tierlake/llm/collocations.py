@@ -13,11 +13,11 @@ extending it by a word on one side takes that side's interval from the ranks in
 the column and the other side's from the counts of smaller words in it. The
 extensions of all phrases of a length are found at once, with their counts.
 
-Sums. Counts are summed across shards three times, each time only for what can
-still be frequent: words; pairs of frequent words; then phrases of three and more
-words whose pairs are all frequent. What is frequent returns to a shard by joins
-on the shard's number, so a shard holds only its own words and pairs, and nothing
-is broadcast. Words and pairs are counted and filtered by a window over their
+Sums. Counts are summed across shards four times, each time only for what can
+still be frequent: words; pairs of frequent words; phrases of three words whose
+pairs are frequent; longer ones whose threes are. What is frequent returns to a
+shard by joins on the shard's number, so a shard holds only its own words and
+phrases, and nothing is broadcast. The sums are windows over the rows of the
 shards, one row a shard, so a word of every document is one row a shard as well.
 
 Scores use the summed counts: the lowest of the cuts' scores by decimals of 38
@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 
 from tierlake.llm.common import prepare, saved, texts_of
 
-SHARD_WORDS = 2_000_000
+SHARD_WORDS = 4_000_000
 SLICE = 1 << 20  # bytes that are split into words at a time
 LOCAL_BITS = 25  # of a word's number within its shard
 SHARD_BITS = 12  # of a shard's number within its task
@@ -218,32 +218,84 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array(sign * count)], ["shard", "a", "b", "count"])
 
 
-def _phrases(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[pa.RecordBatch]:
-    """Rows (shard, sign, ids, local words, their gids, first and second gids of the frequent pairs); gives the
-    phrases of three words and more whose pairs are all frequent, as gids, with their counts."""
+def _codes(gid: np.ndarray, *columns: list) -> np.ndarray:
+    """Sorted codes of phrases given as columns of gids, all of them in the sorted ``gid``."""
+    code = np.zeros(len(columns[0]), np.int64)
+    for c in columns:
+        code = code * (len(gid) + 2) + np.searchsorted(gid, c) + 1
+    return np.sort(code)
+
+
+def _among(codes: np.ndarray, width: int, words: np.ndarray) -> np.ndarray:
+    """Which rows of ``words`` (numbers from 1) are one of the phrases with these sorted codes."""
+    code = np.zeros(len(words), np.int64)
+    for column in words.T:
+        code = code * width + column
+    return codes[np.minimum(np.searchsorted(codes, code), len(codes) - 1)] == code
+
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (shard, sign, ids, local words, their gids, gids a and b of the frequent pairs, their counts here and over
+    all shards); gives the shard without the words of no frequent pair, numbered by place in its own gids."""
     for batch in batches:
-        for shard, sign, ids, local, gid, a, b in zip(*(c.to_pylist() for c in batch.columns)):
+        for shard, sign, ids, local, gid, a, b, here, f in zip(*(c.to_pylist() for c in batch.columns)):
             ids, local, gid = unpacked(ids), np.array(local), np.array(gid)
-            order = np.argsort(gid)
-            local, gid = local[order], gid[order]
             number = np.zeros(int(max(ids.max(), local.max())) + 1, np.int64)
-            number[local] = np.arange(1, len(local) + 1)
-            ids, width = number[ids], len(local) + 2
-            pairs = np.sort((np.searchsorted(gid, a) + 1) * width + np.searchsorted(gid, b) + 1)
-
-            def frequent(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-                code = x * width + y
-                return pairs[np.minimum(np.searchsorted(pairs, code), len(pairs) - 1)] == code
-
-            linked = frequent(ids[:-1], ids[1:])
-            ids = squeezed(np.where(np.append(linked, False) | np.insert(linked, 0, False), ids, 0))
-            index = Index(ids, longest)
-            phrases, left = index.extend(index.words(), left=False), True
-            phrases = kept(phrases, frequent(*phrases[0].T))
-            for k in range(3, longest + 1):
+            own = np.unique(np.concatenate([a, b]))
+            used = np.isin(gid, own)
+            number[local[used]] = np.searchsorted(own, gid[used]) + 1
+            ids = number[ids]
+            pairs = _among(_codes(own, a, b), len(own) + 2, np.column_stack([ids[:-1], ids[1:]]))
+            ids = squeezed(np.where(np.append(pairs, False) | np.insert(pairs, 0, False), ids, 0)).astype(np.int32)
+            yield _rows([(shard, sign, zstandard.ZstdCompressor(level=1).compress(ids.tobytes()), own.tolist(), a, b, here, f)], _LINKED)
+
+
+_LINKED = pa.schema([("shard", pa.int64()), ("sign", pa.int64()), ("ids", pa.binary()), ("gid", pa.list_(pa.int64())),
+                     ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64())), ("here", pa.list_(pa.int64())),
+                     ("f", pa.list_(pa.int64()))])
+
+
+def _triples(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_linked``; gives the phrases of three words that can be frequent: shard, a, b, c (gids), count.
+
+    Both pairs of such a phrase are frequent. As only its own occurrences of a pair can be the phrase's, it also
+    needs ``least`` of the pair's occurrences less those here that go on with other words; one more is allowed for
+    an occurrence that the shard's end cuts, and the overlaps (sign -1) are not judged.
+    """
+    for batch in batches:
+        for shard, sign, ids, gid, a, b, here, f in zip(*(c.to_pylist() for c in batch.columns)):
+            gid, width = np.array(gid), len(gid) + 2
+            code = (np.searchsorted(gid, a) + 1) * width + np.searchsorted(gid, b) + 1
+            order = np.argsort(code)
+            code, here, f = code[order], np.array(here)[order], np.array(f)[order]
+            index = Index(unpacked(ids), 3)
+            pairs = index.extend(index.words(), left=False)
+            pairs = kept(pairs, _among(code, width, pairs[0]))
+            words, _, _, count = index.extend(pairs, left=True)
+            can = np.ones(len(count), bool)
+            for two in (words[:, :2], words[:, 1:]):
+                own = two[:, 0] * width + two[:, 1]
+                at = np.minimum(np.searchsorted(code, own), len(code) - 1)
+                can &= (code[at] == own) & ((sign < 0) | (f[at] - here[at] + count + 1 >= least))
+            words = gid[words[can] - 1]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(words), shard)), *(pa.array(words[:, i]) for i in range(3)), pa.array(sign * count[can])],
+                ["shard", "a", "b", "c", "count"])
+
+
+def _longer(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[pa.RecordBatch]:
+    """Rows (shard, sign, ids, gid, a, b, c: the frequent phrases of three); gives the phrases of four words and
+    more whose threes are all frequent, as gids, with their counts."""
+    for batch in batches:
+        for shard, sign, ids, gid, a, b, c in zip(*(x.to_pylist() for x in batch.columns)):
+            gid, width = np.array(gid), len(gid) + 2
+            threes = _codes(gid, a, b, c)
+            index = Index(unpacked(ids), longest)
+            phrases = index.extend(index.extend(index.words(), left=False), left=True)
+            phrases, left = kept(phrases, _among(threes, width, phrases[0])), False
+            for k in range(4, longest + 1):
                 phrases = index.extend(phrases, left)
-                ends = phrases[0][:, :2] if left else phrases[0][:, -2:]
-                phrases = kept(phrases, frequent(*ends.T))
+                phrases = kept(phrases, _among(threes, width, phrases[0][:, :3] if left else phrases[0][:, -3:]))
                 left = not left
                 flat = pa.array(gid[phrases[0].reshape(-1) - 1])
                 yield pa.RecordBatch.from_arrays(
@@ -272,20 +324,30 @@ def frequent_phrases(docs: DataFrame, longest: int = 5, least: int = 100, shard_
     frequent = saved(_totals(used, ["lang", "word"], least).select(
         "shard", "local", F.min(own).over(of_word).alias("gid"), own.alias("own"), "lang", "word", "f"))
     words = frequent.where("own = gid").select("gid", "lang", "word", "f")
-    local = frequent.groupBy("shard").agg(F.collect_list(F.struct("local", "gid")).alias("w")).select(
-        "shard", F.col("w.local").alias("local"), F.col("w.gid").alias("gid"))
-    packed = saved(shards.select("shard", "sign", "ids").join(local, "shard").select("shard", "sign", "ids", "local", "gid"))
+    packed = saved(shards.select("shard", "sign", "ids").join(_by_shard(frequent, "local", "gid"), "shard").select(
+        "shard", "sign", "ids", "local", "gid"))
     pairs = packed.mapInArrow(_pairs, "shard long, a long, b long, count long")
     pairs = saved(_totals(pairs, ["a", "b"], least))
-    twos = pairs.groupBy("a", "b").agg(F.first("f").alias("f")).select(F.array("a", "b").alias("key"), "f")
-    if longest < 3:
-        return words, twos, totals
-    of_shard = pairs.groupBy("shard").agg(F.collect_list(F.struct("a", "b")).alias("p")).select(
-        "shard", F.col("p.a").alias("a"), F.col("p.b").alias("b"))
-    longer = packed.join(of_shard, "shard").select("shard", "sign", "ids", "local", "gid", "a", "b").mapInArrow(
-        partial(_phrases, longest=longest), "key array<long>, count long")
-    longer = longer.groupBy("key").agg(F.sum("count").alias("f")).where(F.col("f") >= least)
-    return words, saved(twos.unionByName(longer)), totals
+    found = pairs.groupBy("a", "b").agg(F.first("f").alias("f")).select(F.array("a", "b").alias("key"), "f")
+    if longest > 2:
+        linked = saved(packed.join(_by_shard(pairs, "a", "b", "count", "f"), "shard").select(
+            "shard", "sign", "ids", "local", "gid", "a", "b", "count", "f").mapInArrow(
+            _linked, "shard long, sign long, ids binary, gid array<long>, a array<long>, b array<long>, here array<long>, f array<long>"))
+        triples = saved(_totals(linked.mapInArrow(partial(_triples, least=least), "shard long, a long, b long, c long, count long"),
+                                ["a", "b", "c"], least))
+        found = found.unionByName(triples.groupBy("a", "b", "c").agg(F.first("f").alias("f")).select(
+            F.array("a", "b", "c").alias("key"), "f"))
+    if longest > 3:
+        longer = linked.select("shard", "sign", "ids", "gid").join(_by_shard(triples, "a", "b", "c"), "shard").select(
+            "shard", "sign", "ids", "gid", "a", "b", "c").mapInArrow(partial(_longer, longest=longest), "key array<long>, count long")
+        found = found.unionByName(longer.groupBy("key").agg(F.sum("count").alias("f")).where(F.col("f") >= least))
+    return words, saved(found), totals
+
+
+def _by_shard(rows: DataFrame, *columns: str) -> DataFrame:
+    """One row a shard with the ``columns`` as arrays of one order; a shard's rows are fewer than its words."""
+    return rows.groupBy("shard").agg(F.collect_list(F.struct(*columns)).alias("own")).select(
+        "shard", *(F.col(f"own.{c}").alias(c) for c in columns))
 
 
 #: floor(1000 a n / (l r)) of long columns: the products have up to 38 digits, the quotient fits a long as a <= l, r.
