@@ -98,6 +98,58 @@ def write_partitioned(df: DataFrame, path: str, stats: list[tuple[int, int, int]
     return total
 
 
+def stored_months(spark, path: str, *extra) -> DataFrame:
+    """``year, month, row_count, files, content`` of a stored table, plus the ``extra`` aggregates.
+
+    ``content`` is the sum of the rows' hashes, equal for equal rows in any
+    order and number of files. One pass with partial sums per month.
+    """
+    df = spark.read.parquet(path.rstrip("/"))
+    data = [F.col(c) for c in df.columns if c not in PARTITION_COLUMNS]
+    return df.groupBy(*PARTITION_COLUMNS).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_distinct(F.col("_metadata.file_path")).alias("files"),
+        F.sum(F.xxhash64(*data).cast("decimal(38,0)")).alias("content"), *extra)
+
+
+def month_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """What a write did to each month, from :func:`stored_months` taken before and after it.
+
+    ``year, month, change, rows_before, rows_after`` with ``change`` one of
+    ``added``, ``removed``, ``replaced`` (other rows) and ``unchanged`` (the
+    same rows, in whatever files). Take ``before`` from a checkpoint: the write
+    replaces the files it would be read from.
+    """
+    keys = list(PARTITION_COLUMNS)
+    old = before.select(*keys, F.col("row_count").alias("rows_before"), F.col("content").alias("old"))
+    new = after.select(*keys, F.col("row_count").alias("rows_after"), F.col("content").alias("new"))
+    same = (F.col("rows_before") == F.col("rows_after")) & (F.col("old") == F.col("new"))
+    change = (F.when(F.col("rows_before").isNull(), "added").when(F.col("rows_after").isNull(), "removed")
+              .when(same, "unchanged").otherwise("replaced"))
+    return old.join(new, keys, "full_outer").select(*keys, change.alias("change"), "rows_before", "rows_after")
+
+
+def file_bounds(spark, path: str, stats: list[tuple[int, int, int]], files_per_partition: int,
+                max_rows_per_file: int) -> DataFrame:
+    """Whether a salted write kept its file contract, per month.
+
+    ``year, month, row_count, salts, files, largest_file`` and ``within_bounds``:
+    no file has more than ``max_rows_per_file`` rows, there are as many files
+    as that needs at least, and at most one per salt plus those that the cap
+    on a file's rows adds.
+    """
+    plan = [(y, m, salts_for(n, files_per_partition, max_rows_per_file), math.ceil(n / max_rows_per_file)) for y, m, n in stats]
+    salts = F.broadcast(spark.createDataFrame(plan, "year int, month int, salts int, needed int"))  # a row a directory
+    per_file = spark.read.parquet(path.rstrip("/")).groupBy(
+        *PARTITION_COLUMNS, F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    months = per_file.groupBy(*PARTITION_COLUMNS).agg(
+        F.sum("n").alias("row_count"), F.count(F.lit(1)).alias("files"), F.max("n").alias("largest_file"))
+    ok = ((F.col("largest_file") <= max_rows_per_file) & (F.col("files") >= F.col("needed"))
+          & (F.col("files") <= F.col("salts") + F.col("needed")))
+    return months.join(salts, list(PARTITION_COLUMNS)).select(
+        *PARTITION_COLUMNS, "row_count", "salts", "files", "largest_file", ok.alias("within_bounds"))
+
+
 def data_files(spark, path: str) -> DataFrame:
     """``file_path, year, month`` of every parquet file actually read for ``path``."""
     return spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file_path"), *PARTITION_COLUMNS).distinct()

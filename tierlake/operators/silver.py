@@ -91,6 +91,28 @@ def summarize(silver: DataFrame) -> SilverSummary:
     )
 
 
+def gate_verdict(silver: DataFrame, sample: int = 5) -> DataFrame:
+    """The Silver gate as data: one row ``gate, status, row_count, invalid_rows, sample_files``.
+
+    ``sample_files`` are the first ``sample`` names of files with invalid
+    rows, in order: each task keeps that many, whatever the number of files.
+    One narrow pass over the rows; the per-file table is checkpointed.
+    """
+    checkpoint_dir(silver.sparkSession)
+    per_file = file_partition_stats(silver).checkpoint()
+    bad = F.col("year").isNull()
+    files = per_file.where(bad).select(FILE_COLUMN).orderBy(FILE_COLUMN).limit(sample)
+    totals = per_file.select("rows", F.when(bad, F.col("rows")).otherwise(0).alias("invalid"), F.lit(None).cast("string").alias("file"))
+    both = totals.unionByName(files.select(F.lit(0).cast("long").alias("rows"), F.lit(0).cast("long").alias("invalid"),
+                                           F.col(FILE_COLUMN).alias("file")))
+    return both.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("row_count"), F.coalesce(F.sum("invalid"), F.lit(0)).alias("invalid_rows"),
+        F.array_sort(F.collect_list("file")).alias("sample_files"),  # at most `sample` names; nulls are left out
+    ).select(F.lit("silver_partitions_valid").alias("gate"),
+             F.when(F.col("invalid_rows") == 0, "PASS").otherwise("FAIL").alias("status"),
+             "row_count", "invalid_rows", "sample_files")
+
+
 def check_gate(summary: SilverSummary) -> None:
     """Raise with the invalid-row count and up to 5 example files."""
     if summary.invalid_rows == 0:

@@ -8,6 +8,9 @@ in-memory catalog or a Hive metastore alike.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tierlake.session import checkpoint_dir
 
 PARTITION_SPEC = "year INT, month INT"
 
@@ -70,6 +73,10 @@ def ddl(db: str, silver_uri: str, gold_uri: str, silver_table: str = SILVER_TABL
     return stmts
 
 
+def table_names(silver_table: str = SILVER_TABLE) -> list[str]:
+    return [silver_table, *GOLD_COLUMNS]
+
+
 def register_tables(spark: SparkSession, db: str, silver_uri: str, gold_uri: str,
                     silver_table: str = SILVER_TABLE) -> list[str]:
     """Run :func:`ddl`. Call it after the layers are written: ``MSCK REPAIR
@@ -80,6 +87,56 @@ def register_tables(spark: SparkSession, db: str, silver_uri: str, gold_uri: str
     return stmts
 
 
+def catalog_rows(spark: SparkSession, db: str, tables: list[str]) -> DataFrame:
+    """``table_name, row_count`` as the catalog sees the tables: only rows of registered partitions."""
+    return spark.sql("\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {_q(db)}.{_q(t)}" for t in tables))
+
+
+def catalog_partitions(spark: SparkSession, db: str, tables: list[str]) -> DataFrame:
+    """``table_name, year, month`` of every registered partition (``SHOW PARTITIONS``; one row a directory)."""
+    out = None
+    for t in tables:
+        spec = F.col("partition")
+        part = show_partitions(spark, db, t).select(
+            F.lit(t).alias("table_name"),
+            F.regexp_extract(spec, "year=([0-9]+)", 1).cast("int").alias("year"),
+            F.regexp_extract(spec, "month=([0-9]+)", 1).cast("int").alias("month"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def repair_round_trip(spark: SparkSession, db: str, silver_uri: str, gold_uri: str,
+                      silver_table: str = SILVER_TABLE) -> DataFrame:
+    """Register the layers in ``db`` and report what partition discovery finds.
+
+    Creates the database and the external tables, counts their rows (none: no
+    partition is registered yet), repairs them and counts again. One row per
+    table: ``table_name, rows_before, partitions, rows_after``. The counts are
+    checkpointed, so the result stays valid when the database is dropped.
+    """
+    checkpoint_dir(spark)
+    stmts = ddl(db, silver_uri, gold_uri, silver_table)
+    repairs = [s for s in stmts if s.startswith("MSCK")]
+    for s in stmts:
+        if s not in repairs:
+            spark.sql(s)
+    tables = table_names(silver_table)
+    before = catalog_rows(spark, db, tables).withColumnRenamed("row_count", "rows_before").checkpoint()
+    for s in repairs:
+        spark.sql(s)
+    after = catalog_rows(spark, db, tables).withColumnRenamed("row_count", "rows_after").checkpoint()
+    partitions = catalog_partitions(spark, db, tables).groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("partitions"))
+    return before.join(partitions, "table_name", "left").join(after, "table_name").select(
+        "table_name", "rows_before", F.coalesce("partitions", F.lit(0)).alias("partitions"), "rows_after").checkpoint()
+
+
+def drop_database(spark: SparkSession, db: str) -> None:
+    """Drop the database and its catalog entries; external data stays."""
+    spark.sql(f"DROP DATABASE IF EXISTS {_q(db)} CASCADE")
+
+
 def show_tables(spark: SparkSession, db: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {_q(db)}")
 

@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 
 from tierlake.operators import gold as G
 from tierlake.operators.layout import DEFAULT_MAX_ROWS_PER_FILE, partition_counts, write_partitioned
+from tierlake.operators.publish import publish, staging_folder
 from tierlake.operators.quality import QualityResult, derive_reports_uri, run_quality
 from tierlake.operators.silver import SilverSummary, build_silver
 from tierlake.plans.catalog import register_tables
 from tierlake.plans.validation import run_validation
 from tierlake.session import checkpoint_dir
+from tierlake.sources.storage import Storage
 
 
 def run_silver(spark: SparkSession, raw_uri: str, silver_uri: str, files_per_partition: int = 1,
@@ -43,7 +45,9 @@ def run_gold(spark: SparkSession, silver_uri: str, gold_uri: str, files_per_part
     shared checkpoint folder (small, and a lost executor cannot force a
     second Silver scan). Gates run on the cube; every table is sized before
     the first write, so an empty table stops the job before anything is
-    written.
+    written. All four tables are written to a staging folder and then published
+    together (:mod:`tierlake.operators.publish`): a run that fails leaves the
+    old Gold as it was.
     """
     checkpoint_dir(spark)
     silver = spark.read.option("mergeSchema", "true").parquet(silver_uri.rstrip("/"))
@@ -58,8 +62,14 @@ def run_gold(spark: SparkSession, silver_uri: str, gold_uri: str, files_per_part
     for name, st in stats.items():
         if not st:
             raise G.GoldInputError(f"{name} would be empty")
-    for name, df in tables.items():
-        write_partitioned(df, f"{gold_uri.rstrip('/')}/{name}", stats[name], files_per_partition)
+    staging = staging_folder(gold_uri)
+    try:
+        for name, df in tables.items():
+            write_partitioned(df, f"{staging}/{name}", stats[name], files_per_partition)
+    except Exception:
+        Storage(spark).delete(staging)
+        raise
+    publish(spark, staging, gold_uri, list(tables))
     return GoldSummary(
         rows={n: sum(r for _, _, r in st) for n, st in stats.items()},
         partitions={n: len(st) for n, st in stats.items()},

@@ -72,6 +72,7 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 # SQL forms for the catalog (Spark SQL); {db}, {year}, {month} are filled in.
+# The statements' columns, filters, orders and limits are the source project's.
 PRODUCTION_FOR_MONTH_SQL = """
 SELECT year, month, metric_name, total_production
 FROM {db}.gold_monthly_global_production
