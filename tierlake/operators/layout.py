@@ -28,6 +28,8 @@ PARTITION_COLUMNS = ("year", "month")
 # Default cap per file (and so per write task): a month larger than this is
 # spread over several tasks instead of landing whole in one.
 DEFAULT_MAX_ROWS_PER_FILE = 5_000_000
+# Rows that a write task takes about, where months are small.
+ROWS_PER_TASK = 500_000
 
 
 def partition_counts(df: DataFrame) -> list[tuple[int, int, int]]:
@@ -66,6 +68,9 @@ def write_partitioned(df: DataFrame, path: str, stats: list[tuple[int, int, int]
     if not shuffle:
         out, total = df, 0
     elif all(s == 1 for _, _, s in plan):
+        # A task may take several small months (each is still one file); large ones get a task each.
+        rows = sum(n for _, _, n in stats)
+        total = min(total, max(spark.sparkContext.defaultParallelism, math.ceil(rows / ROWS_PER_TASK)))
         out = df.repartition(total, *PARTITION_COLUMNS)
     else:
         salts = F.broadcast(spark.createDataFrame(plan, "year int, month int, _salts int"))

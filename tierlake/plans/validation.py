@@ -164,6 +164,18 @@ def run_validation(spark, db: str, year: int, month: int, output_uri: str | None
     return results
 
 
+# The measure column of each stored result.
+RESULT_MEASURES = {
+    "production_for_month": "total_production",
+    "trend_top_for_month": "production_value",
+    "top_producers_for_month": "production_value",
+    "trade_top_abs_for_month": "trade_balance_value",
+    "production_sum_filtered": "total_production_sum",
+    "production_sum_all": "total_production_sum",
+    "row_counts": "row_count",
+}
+
+
 def register_views(spark, tables: dict[str, DataFrame]) -> str:
     """Expose Gold DataFrames as global temporary views under their table
     names, so the catalog SQL above runs unchanged; returns the view database."""
