@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierlake.session import checkpoint_dir
@@ -104,20 +104,21 @@ def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected ``edges`` (a, b: long): one row (node, root) per node that
     has an edge, ``root`` the smallest node of its component.
 
-    Alternating large-star and small-star steps: hubs only ever meet a partial
-    ``min``, and each round ends in the shared checkpoint folder.
+    Alternating large-star and small-star steps, one shuffle each: the edges of
+    a node are neighbours in a sorted partition, which Spark spills, and their
+    least end is a window over them. Each round ends in the shared checkpoint
+    folder.
     """
-    e = saved(edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct())
+    e = saved(edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")))
     while True:
         both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(e.select("lo", "hi"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
-        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(least, "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo")).where("hi <> lo")
-        e = saved(small.union(least.select("hi", F.col("m").alias("lo"))).distinct())
-        ends = e.select(F.col("hi").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
-            e.select("lo", F.lit(0), F.lit(1)))
-        if ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where(
-                "up > 1 or (up > 0 and down > 0)").isEmpty():
-            return e.select(F.col("hi").alias("node"), F.col("lo").alias("root")).union(
-                e.select("lo", "lo").distinct())
+        both = both.repartition("u").dropDuplicates(["u", "v"])
+        least = F.least("u", F.min("v").over(Window.partitionBy("u")))
+        large = both.withColumn("m", least).where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
+        large = large.repartition("hi").dropDuplicates(["hi", "lo"])
+        small = large.withColumn("m", F.min("lo").over(Window.partitionBy("hi")))
+        e = saved(small.select(F.when(F.col("lo") == F.col("m"), F.col("hi")).otherwise(F.col("lo")).alias("hi"), F.col("m").alias("lo")))
+        ends = e.select(F.col("hi").alias("n"), F.col("lo").alias("up")).union(e.select("lo", F.lit(None).cast("long")))
+        if ends.groupBy("n").agg(F.min("up").alias("least"), F.max("up").alias("most"), F.count_if(F.col("up").isNull()).alias("down")).where(
+                "least < most or (least is not null and down > 0)").isEmpty():
+            return e.select(F.col("hi").alias("node"), F.col("lo").alias("root")).union(e.select("lo", "lo")).distinct()

@@ -144,15 +144,12 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
             .mapInArrow(partial(_confirm, k=k, percent=percent), "a long, b long"))
 
 
-def _linked(row: tuple, block: tuple, key: int, percent: int, least: float) -> np.ndarray:
-    """Nodes of the ``block`` that are linked with the passing ``row`` and meet it first in bucket ``key``."""
+def _linked(row: tuple, block: tuple, percent: int, least: float) -> np.ndarray:
+    """Nodes of the ``block`` that share a band with the passing ``row`` and are linked with it."""
     node, comp, _, bands, sketch_, own = row
     nodes, comps, minor, all_bands, sketches, n, who, hashes = block
-    equal = all_bands == bands
-    first = equal.argmax(axis=1)
-    here = (all_bands[np.arange(len(nodes)), first] == key) | ~equal.any(axis=1)
     # Two members outside the main component pass by each other twice.
-    todo = here & (comps != comp) & (~minor | (nodes < node))
+    todo = (all_bands == bands).any(axis=1) & (comps != comp) & (~minor | (nodes < node))
     todo &= np.minimum(n, len(own)) * 100 >= np.maximum(n, len(own)) * percent
     at = np.flatnonzero(todo)
     todo[at] = (sketches[at] == sketch_).mean(axis=1) >= least
@@ -166,21 +163,21 @@ def _linked(row: tuple, block: tuple, key: int, percent: int, least: float) -> n
 
 
 def _across(batches: Iterator[pa.RecordBatch], k: int, percent: int, least: float) -> Iterator[pa.RecordBatch]:
-    """Rows (key, salt, passing, node, comp, minor, bands, sketch, text) sorted by (key, salt, passing): the members of
-    a block, which are held, then the members outside the main component, which pass by. Gives the links (a, b)."""
+    """Rows (main, salt, passing, node, comp, minor, bands, sketch, text) sorted by (main, salt, passing): the members
+    of a block, which are held, then the members outside the main component, which pass by. Gives the links (a, b)."""
     at, held, block = None, [], None
     for batch in batches:
         if not batch.num_rows:
             continue
-        key, salt, passing, node, comp, minor = (batch.column(c).to_pylist() for c in range(6))
+        main, salt, passing, node, comp, minor = (batch.column(c).to_pylist() for c in range(6))
         bands = batch.column(6).flatten().to_numpy().reshape(batch.num_rows, -1)
         sketches = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint16).reshape(batch.num_rows, -1)
         _, hashes, size = shingle_sets([ascii_words(t) for t in texts_of(batch.column(8))], k)
         sets = np.split(hashes, np.cumsum(size)[:-1])
         a, b = [], []
         for i, row in enumerate(zip(node, comp, minor, bands, sketches, sets)):
-            if (key[i], salt[i]) != at:
-                at, held, block = (key[i], salt[i]), [], None
+            if (main[i], salt[i]) != at:
+                at, held, block = (main[i], salt[i]), [], None
             if not passing[i]:
                 held.append(row)
                 continue
@@ -190,7 +187,7 @@ def _across(batches: Iterator[pa.RecordBatch], k: int, percent: int, least: floa
                 *cols, own = zip(*held)
                 n = np.array([len(x) for x in own])
                 block = (*(np.array(c) for c in cols), n, np.repeat(np.arange(len(n)), n), np.concatenate(own))
-            for other in _linked(row, block, key[i], percent, least).tolist():
+            for other in _linked(row, block, percent, least).tolist():
                 a.append(min(other, node[i]))
                 b.append(max(other, node[i]))
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
@@ -199,21 +196,23 @@ def _across(batches: Iterator[pa.RecordBatch], k: int, percent: int, least: floa
 def links_across(members: DataFrame, side: DataFrame, k: int, percent: int, least: float) -> DataFrame:
     """Links between members (key, node, n, comp) of one bucket that are in different components.
 
-    ``side`` has bands, sketch and text per node. A bucket of ``m`` members, ``s`` of them outside its main
-    component, costs ``m + s * ceil(m / HUB_BLOCK)`` rows (more blocks where the sets are large).
+    ``side`` has bands, sketch and text per node. The buckets of one main component are searched together, so a
+    node goes there once, however many of its buckets they are: ``m`` members of these buckets, ``s`` of them
+    outside the main component, cost ``m + s * ceil(m / HUB_BLOCK)`` rows (more blocks where the sets are large).
     """
-    size = members.groupBy("key", "comp").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles"))
-    several = size.groupBy("key").agg(
-        F.max_by("comp", F.struct("rows", "comp")).alias("main"), F.count("*").alias("comps"),
-        F.greatest(F.ceil(F.sum("rows") / HUB_BLOCK), F.ceil(F.sum("shingles") / BLOCK_SHINGLES)).cast("int").alias("parts"),
-    ).where("comps > 1").drop("comps")
+    size = members.groupBy("key", "comp").agg(F.count("*").alias("rows"))
+    mixed = size.groupBy("key").agg(
+        F.max_by("comp", F.struct("rows", "comp")).alias("main"), F.count("*").alias("comps")).where("comps > 1").drop("comps")
+    inside = saved(members.join(mixed, "key").select("main", "node", "n", "comp").distinct())
+    parts = inside.groupBy("main").agg(
+        F.greatest(F.ceil(F.count("*") / HUB_BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("parts"))
     home = F.struct(F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("salt"), F.lit(0).alias("passing"))
     tour = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: F.struct(i.alias("salt"), F.lit(1).alias("passing")))
     minor = F.col("comp") != F.col("main")
     places = F.when(minor, F.concat(F.array(home), tour)).otherwise(F.array(home))
-    rows = members.join(several, "key").select("key", "node", "comp", minor.alias("minor"), F.inline(places))
-    return (rows.join(side, "node").select("key", "salt", "passing", "node", "comp", "minor", "bands", "sketch", "text")
-            .repartition("key", "salt").sortWithinPartitions("key", "salt", "passing")
+    rows = inside.join(parts, "main").select("main", "node", "comp", minor.alias("minor"), F.inline(places))
+    return (rows.join(side, "node").select("main", "salt", "passing", "node", "comp", "minor", "bands", "sketch", "text")
+            .repartition("main", "salt").sortWithinPartitions("main", "salt", "passing")
             .mapInArrow(partial(_across, k=k, percent=percent, least=least), "a long, b long"))
 
 
@@ -236,9 +235,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
     copies = saved(known.select("same", "doc_id").distinct().join(reps, "same")
                    .select("doc_id", "node", "n"))
     own = copies.where("doc_id = node").select("doc_id", "n")
-    banded = known.select("doc_id", "bands").join(own, "doc_id").select(
-        F.col("doc_id").alias("node"), "n", F.explode("bands").alias("key")).distinct()
-    full = banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key")
+    banded = known.select("doc_id", "bands").join(own, "doc_id").groupBy("doc_id").agg(
+        F.max("n").alias("n"), F.array_distinct(F.flatten(F.collect_list("bands"))).alias("bands")).select(
+        F.col("doc_id").alias("node"), "n", F.explode("bands").alias("key"))
+    # The keys of several nodes are written first, so that the join with a bucket of very many can be split.
+    full = saved(banded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key"))
     members = saved(banded.join(full, "key").select("key", "node", "n"))
     nodes = members.select(F.col("node").alias("doc_id")).distinct()
     texts = saved(docs.where("text is not null").join(nodes, "doc_id")
@@ -255,19 +256,23 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
     pivot = members.groupBy("key").agg(F.min_by(F.struct("node", "n"), "node").alias("p")).select(
         "key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"))
     found = saved(confirmed(likely(members.join(pivot, "key").where("node <> pivot")), texts, k, percent))
-    links = copies.where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b")).union(found).distinct()
-    roots = components(links)
+    same = copies.where("doc_id <> node").select(F.col("node").alias("a"), F.col("doc_id").alias("b"))
+    # Copies follow their representative; only an id with several texts joins classes by itself.
+    several = copies.groupBy("doc_id").agg(F.count_distinct("node").alias("nodes")).where("nodes > 1").select("doc_id")
+    edges = found.union(same.join(several.withColumnRenamed("doc_id", "b"), "b").select("a", "b"))
+    roots = components(edges)
     rooted = saved(members.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("comp")))
     side = known.join(nodes, "doc_id").select(F.col("doc_id").alias("node"), "bands", "sketch").dropDuplicates(
         ["node"]).join(texts, "node")
     late = saved(links_across(rooted, side, k, percent, least).distinct())
     if not late.isEmpty():
-        links = links.union(late)
-        roots = components(links)
+        roots = components(edges.union(late))
 
+    links = same.union(found).union(late).distinct()
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(
         F.count("*").alias("n_links"))
-    verdict = roots.join(degree, "node").select(F.col("node").alias("doc_id"), "root", "n_links")
+    verdict = copies.join(roots, "node", "left").groupBy("doc_id").agg(F.min(F.coalesce("root", "node")).alias("root")).join(
+        degree.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return (sig.select("doc_id", "n_shingles").join(verdict, "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("n_links", F.lit(0)).alias("n_links"),
                     F.coalesce("root", "doc_id").alias("component_id"))
