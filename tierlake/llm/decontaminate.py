@@ -29,7 +29,8 @@ import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import partial
+from functools import lru_cache, partial
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -49,17 +50,31 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK_WORDS = 500_000  # words of test items broadcast at once
 
 _WORD = re.compile(r"\w+")
+#: ASCII word bytes, A-Z lower-cased, and all bytes of other characters; the rest of ASCII divides words.
+_ASCII = bytes(c + 32 if 65 <= c < 91 else c if 48 <= c < 58 or 97 <= c < 123 or c == 95 or c > 127 else 32 for c in range(256))
 
 
-def norm_words(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+@lru_cache(1 << 16)
+def _other_words(token: bytes) -> tuple[bytes, ...]:
+    """The words of a token that holds other than ASCII characters."""
+    return tuple(w.encode() for w in _WORD.findall(token.decode().lower()))
+
+
+def norm_words(text: str | None) -> list[bytes]:
+    """Lower-case words (runs of letters, digits and ``_``) in UTF-8."""
+    if not text:
+        return []
+    tokens = text.encode().translate(_ASCII).split()
+    if text.isascii():
+        return tokens
+    return [w for t in tokens for w in ((t,) if t.isascii() else _other_words(t))]
 
 
 class Items:
     """The word sequences of a block of test items and their n-grams."""
 
     def __init__(self, items: list[tuple[int, str | None]]):
-        self.vocab: dict[str, int] = {}
+        self.vocab: dict[bytes, int] = {}
         self.ids: list[int] = []
         self.words: list[np.ndarray] = []
         for item_id, text in items:
@@ -73,6 +88,7 @@ class Items:
             for g in set(self.keys(words).tolist()):
                 self.grams[g].append(i)
         self.known = np.array(sorted(self.grams), np.int64)
+        self.lengths = sorted({min(N, len(w)) for w in self.words}, reverse=True)  # of the items' n-grams
         self.size = [len(set(self.keys(w).tolist())) for w in self.words]
         self.need = [1 if len(w) < SHORT else min(MIN_SEEDS, n) for w, n in zip(self.words, self.size)]
         self.copy = [min(n, max(MIN_SEEDS, math.ceil(COPY_SHARE * n))) for n in self.size]
@@ -93,21 +109,21 @@ class Items:
         """
         get = self.vocab.get
         found = norm_words(text)
-        words = np.fromiter((get(w, 0) for w in found), np.int64, len(found))
-        near = np.flatnonzero(words)
-        if not len(near) or not len(self.known):
-            return words, near, near
-        padded = np.concatenate([words, np.zeros(N - 1, np.int64)])
-        at, keys = [], []
-        for length in range(N, 0, -1):
+        words = np.fromiter(map(get, found, repeat(0)), np.int64, len(found))
+        used = words > 0
+        at, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for length in self.lengths:
+            whole = used[:max(0, len(words) - length + 1)].copy()
+            for j in range(1, length):
+                whole &= used[j:len(words) - length + 1 + j]
+            near = np.flatnonzero(whole)
+            if not len(near):
+                continue
             key = np.zeros(len(near), np.int64)
-            whole = np.ones(len(near), bool)
             for j in range(N):
-                part = padded[near + j] if j < length else np.zeros(len(near), np.int64)
-                key = key * self.base + part
-                whole &= (part > 0) | (j >= length)
+                key = key * self.base + (words[near + j] if j < length else 0)
             pos = np.searchsorted(self.known, key)
-            hit = whole & (self.known[np.minimum(pos, len(self.known) - 1)] == key)
+            hit = self.known[np.minimum(pos, len(self.known) - 1)] == key
             at.append(near[hit])
             keys.append(key[hit])
         return words, np.concatenate(at), np.concatenate(keys)
@@ -185,7 +201,10 @@ def _frequencies(batches: Iterator[pa.RecordBatch], items) -> Iterator[pa.Record
     for batch in batches:
         for text in batch.column(0).to_pylist():
             docs += 1
-            grams = np.unique(own.text_keys(text)[2]).tolist()
+            keys = own.text_keys(text)[2]
+            if not len(keys):
+                continue
+            grams = np.unique(keys).tolist()
             held: dict[int, int] = defaultdict(int)
             for g in grams:
                 for i in own.grams[g]:
