@@ -77,7 +77,16 @@ def matched(words: list[str], a: ahocorasick.Automaton | None) -> tuple[float, i
     hits, safe = [], []
     for end, (length, weight) in a.iter(f" {' '.join(words)} "):
         (safe if weight is None else hits).append((end - length, end, weight))
-    total = sum(w for s, e, w in hits if not any(x <= s and e <= y for x, y, _ in safe))
+    # One sweep by start: a word is inside a phrase if the phrases begun so far reach to its end.
+    hits.sort()
+    safe.sort(key=lambda span: span[:2])
+    total, reach, at = 0.0, -1, 0
+    for start, end, weight in hits:
+        while at < len(safe) and safe[at][0] <= start:
+            reach = max(reach, safe[at][1])
+            at += 1
+        if end > reach:
+            total += weight
     return total, len(words)
 
 
