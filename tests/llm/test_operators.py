@@ -3,11 +3,13 @@
 import hashlib
 import math
 import re
+import time
 from collections import Counter, defaultdict
 from fractions import Fraction
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from tests.compare import compare, duck
@@ -276,6 +278,67 @@ def test_pii_redaction_and_odd_rows(odd, none):
     assert pii.spans(none).count() == 0 and pii.redact(none).columns == none.columns
 
 
+def merged(text, spans):
+    """The text with each run of overlapping spans replaced by the kind of its first span."""
+    out, at = [], 0
+    for start, kind, end in spans:
+        if start >= at:
+            out.append(text[at:start] + f"[{kind.upper()}]")
+        at = max(at, end)
+    return "".join(out) + text[at:]
+
+
+def test_pii_cover_and_redaction_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SPAN_BLOCK", 3)
+    monkeypatch.setattr(pii, "CHUNK", 5)
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(60):
+        text = "".join(rng.choice(list("aé😀 \n.9"), rng.integers(1, 120)))
+        spans = [[], []]
+        for side in spans:
+            for _ in range(rng.integers(0, 12)):
+                start = int(rng.integers(0, len(text)))
+                side.append((start, int(rng.integers(0, 5)), int(rng.integers(start + 1, len(text) + 1))))
+        rows.append((i, text, sorted(spans[0]), spans[1]))
+    kind = "array<struct<start:int,kind:int,end:int>>"
+    df = spark.createDataFrame(rows, f"doc_id long, text string, base {kind}, more {kind}")
+    got = df.select("doc_id", pii._covered(F.col("base"), F.col("more"), True).alias("own"),
+                    pii._covered(F.col("base"), F.col("more"), False).alias("any_kind"),
+                    pii.redacted(F.col("text"), F.col("base")).alias("out")).collect()
+    assert len(got) == 60
+    for r in got:
+        _, text, base, more = rows[r["doc_id"]]
+        assert r["any_kind"] == [any(b[0] <= c[0] and c[2] <= b[2] for b in base) for c in more]
+        assert r["own"] == [any(b[1] == c[1] and b[0] <= c[0] and c[2] <= b[2] for b in base) for c in more]
+        assert r["out"] == merged(text, [(s, pii.KINDS[k], e) for s, k, e in base])
+
+
+def test_pii_text_of_very_many_addresses(spark):
+    text = " é ".join(f"user{i}@host{i % 97}.example.org" for i in range(100_000))
+    docs = spark.createDataFrame([(1, text), (2, "ann@b.org")], "doc_id long, text string")
+    began = time.monotonic()
+    got = by_id(pii.spans(docs))
+    assert got[1]["n_email"] == 100_000 and len(got[1]["spans"].split(",")) == 100_000
+    out = by_id(pii.redact(docs))
+    assert out[1]["text"] == " é ".join(["[EMAIL]"] * 100_000) and out[2]["text"] == "[EMAIL]"
+    assert time.monotonic() - began < 120
+
+
+def test_pii_thresholds_follow_the_held_out_labels():
+    card, phone = pii.KINDS.index("card"), pii.KINDS.index("phone")
+
+    def x(kind, check):
+        return (kind, 3, 4, 0, 3, 2, 1, 1, check, 0)
+
+    rows = [(x(card, 1), False, 80.0, 80.0), (x(card, 1), True, 20.0, 20.0), (x(card, 0), False, 80.0, 0.0),
+            (x(card, 0), True, 20.0, 0.0), (x(phone, 1), False, 3.0, 3.0)]
+    prior, trees = pii.boost([(r[0], r[2], r[3]) for r in rows if not r[1]])
+    margin = {c: prior + sum(pii._value(t, x(card, c)) for t in trees) for c in (0, 1)}
+    least = pii.thresholds(rows, prior, trees)
+    assert set(least) == {card} and margin[0] < least[card] <= margin[1]
+
+
 # --- repeated passages ---
 
 
@@ -408,6 +471,21 @@ def test_toxicity(spark, docs, odd, none):
     assert toxicity.matched(["bad", "is", "not", "bad", "badly"], a) == (2.0, 5)
 
 
+def test_toxic_words_equal_brute_force_and_long_texts():
+    lexicon, phrases = {"bad": 2.0, "worse": 3.0}, ["not bad", "bad worse", "worse luck"]
+    a = toxicity.automaton(lexicon, phrases)
+    rng = np.random.default_rng(3)
+    for n in range(200):
+        words = rng.choice(["bad", "worse", "not", "luck", "so"], n % 40).tolist()
+        pairs = [f"{x} {y}" in phrases for x, y in zip(words, words[1:])]
+        want = sum(lexicon.get(w, 0.0) for i, w in enumerate(words)
+                   if not (i < len(pairs) and pairs[i]) and not (i and pairs[i - 1]))
+        assert toxicity.matched(words, a) == (want, len(words))
+    began = time.monotonic()
+    assert toxicity.matched(["not", "bad", "so", "bad"] * 100_000, a) == (200_000.0, 400_000)
+    assert time.monotonic() - began < 20
+
+
 # --- archives ---
 
 

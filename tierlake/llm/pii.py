@@ -10,15 +10,20 @@ trees are fitted to weak labels: a candidate that a checked base span of its
 kind covers, an obfuscated address that is one when unfolded, a number of 9 to
 15 digits after a phone cue, or a key that an assignment or a known prefix
 introduces. Plausible candidates without a label (their check holds) are left
-out of the fit; the others are its negatives. The thresholds are calibrated per
-kind on a held-out fold, and the candidates above them become spans beside the
-base, as do unfolded addresses and cued numbers whatever the model.
+out of the fit; the others are its negatives. A kind's threshold is the lowest
+margin of a labelled positive at which the precision on a held-out fold (on all
+folds, if it has under ``MIN_HELD`` candidates of the kind) is ``PRECISION`` or
+more; the candidates that reach it become spans beside the base. Only where a
+table has too few labels of a kind for a threshold, its unfolded addresses and
+cued numbers are spans by their format check.
 
 Candidates of all documents are summed into one row per combination of
 features before they are fitted: their number is bounded by the product of the
 feature ranges (in practice a few hundred), so the fit sees every candidate and
 only that table reaches the driver. The trees are then one SQL expression.
-No Python code runs on the executors and texts are never shuffled.
+No Python code runs on the executors and texts are never shuffled. Base spans
+and candidates of a text are merged by start, so that a text of very many spans
+costs time in proportion.
 
 Edge cases. Null is an empty text without spans. Repeated rows get equal
 results; a null doc_id counts to the fitted folds. Without candidates no model
@@ -79,6 +84,50 @@ FOLDS = 5  # one of them held out for the thresholds
 TREES, DEPTH, RATE = 20, 3, 0.3
 PRECISION = 0.8  # of the weak labels above a kind's threshold, on the held-out fold
 MIN_LEAF = 5
+MIN_HELD = 20
+SPAN_BLOCK = 100  # spans of a text whose running maximum is taken at once
+CHUNK = 1024  # code points of a text that a cut of it starts from
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is made once: inside a lambda an expression is made anew at each step."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _running_max(values: Column) -> Column:
+    """Running maxima of an array of longs: within blocks, then over the blocks."""
+    def within(block: Column) -> Column:
+        return F.transform(block, lambda _, j: F.array_max(F.slice(block, 1, j + 1)))
+
+    def raised(parts: Column, tops: Column) -> Column:
+        before = F.transform(tops, lambda _, j: F.array_max(F.slice(tops, F.lit(1), j)))
+        return F.flatten(F.zip_with(parts, before, lambda part, top: F.transform(part, lambda x: F.greatest(x, top))))
+
+    def blocks(v: Column) -> Column:
+        last = F.ceil(F.size(v) / SPAN_BLOCK).cast("int") - 1
+        parts = F.transform(F.sequence(F.lit(0), last), lambda i: _let(F.slice(v, i * SPAN_BLOCK + 1, F.lit(SPAN_BLOCK)), within))
+        maxima = _let(parts, lambda p: _let(F.transform(p, lambda x: F.element_at(x, -1)), lambda tops: raised(p, tops)))
+        return F.when(last >= 0, maxima).otherwise(F.lit([]).cast("array<bigint>"))
+
+    return _let(values, blocks)
+
+
+def _covered(base: Column, more: Column, same_kind: bool) -> Column:
+    """array<boolean>: whether a base span (of the same kind) covers each span of ``more``. Both are merged by
+    start; a span is covered if a base span that began before it or with it ends with it or later. Positions of a
+    kind are moved past those of the kinds before it, so that only its own spans can reach them."""
+    def at(span: Column, end: str) -> Column:
+        return span[end].cast("long") + (F.shiftleft(span["kind"].cast("long"), 32) if same_kind else F.lit(0))
+
+    events = F.array_sort(F.concat(
+        F.transform(base, lambda b: F.struct(at(b, "start").alias("start"), F.lit(-1).alias("pos"), at(b, "end").alias("end"))),
+        F.transform(more, lambda c, i: F.struct(at(c, "start").alias("start"), i.alias("pos"), at(c, "end").alias("end")))))
+
+    def flags(e: Column) -> Column:
+        reach = _running_max(F.transform(e, lambda x: F.when(x["pos"] < 0, x["end"]).otherwise(F.lit(0))))
+        return F.zip_with(e, reach, lambda x, top: F.struct(x["pos"].alias("pos"), (top >= x["end"]).alias("inside")))
+
+    return F.transform(F.array_sort(F.filter(_let(events, flags), lambda f: f["pos"] >= 0)), lambda f: f["inside"])
 
 
 def _hits(text: Column, pattern: str, after: bool) -> Column:
@@ -193,8 +242,8 @@ def _count(kind: int) -> Column:
 
 
 def with_candidates(df: DataFrame, text: str) -> DataFrame:
-    """``df`` with ``pii_base`` (sorted checked spans) and ``pii_more`` (candidates outside of them, with features
-    and the weak label); the names must be free."""
+    """``df`` with ``pii_base`` (sorted checked spans) and ``pii_more`` (candidates with features, the weak label and
+    whether a base span covers them); the names and ``pii_raw`` must be free."""
     content = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     base = F.array_sort(F.concat(*(
         _ordered(_valid(k, _gated(content, BASE_GATE[k], _hits(content, p, False))), k) for k, p in BASE.items())))
@@ -204,11 +253,13 @@ def with_candidates(df: DataFrame, text: str) -> DataFrame:
         if kind == "secret":
             found = F.filter(found, lambda h: F.length(h["hit"]) >= MIN_SECRET)
         hits.append(_candidates(kind, found))
-    return df.withColumn("pii_base", base).withColumn("pii_more", F.concat(*hits))
-
-
-def _label(base: Column, c: Column) -> Column:
-    return F.exists(base, lambda b: (b["kind"] == c["kind"]) & (b["start"] <= c["start"]) & (b["end"] >= c["end"])) | c["known"]
+    found = df.withColumn("pii_base", base).withColumn("pii_raw", F.concat(*hits))
+    cover = F.zip_with(_covered(F.col("pii_base"), F.col("pii_raw"), True), _covered(F.col("pii_base"), F.col("pii_raw"), False),
+                       lambda own, any_kind: F.struct(own.alias("own"), any_kind.alias("inside")))
+    marked = F.zip_with("pii_raw", cover, lambda c, by: F.struct(
+        c["start"].alias("start"), c["end"].alias("end"), c["known"].alias("known"), c["unsure"].alias("unsure"),
+        (by["own"] | c["known"]).alias("label"), by["inside"].alias("inside"), *(c[f].alias(f) for f in FEATURES)))
+    return found.withColumn("pii_more", marked).drop("pii_raw")
 
 
 # --- boosted trees over the table of feature combinations ---------------------------------------------------
@@ -263,6 +314,26 @@ def boost(rows: list[Row]) -> tuple[float, list]:
     return prior, trees
 
 
+def thresholds(rows: list[tuple[tuple[int, ...], bool, float, float]], prior: float, trees: list) -> dict[int, float]:
+    """Least margin per kind, from rows (features, held out, candidates, positives); kinds with too few have none."""
+    out = {}
+    for kind in range(len(KINDS)):
+        own = [r for r in rows if r[0][0] == kind]
+        few = sum(r[2] for r in own if r[1]) < MIN_HELD
+        by: dict[float, list[float]] = {}
+        for x, held, n, pos in own:
+            cell = by.setdefault(prior + sum(_value(t, x) for t in trees), [0.0, 0.0, 0.0])
+            cell[0] += n if held or few else 0.0
+            cell[1] += pos if held or few else 0.0
+            cell[2] += pos
+        n = pos = 0.0
+        for margin in sorted(by, reverse=True):
+            n, pos = n + by[margin][0], pos + by[margin][1]
+            if n >= MIN_LEAF and pos >= PRECISION * n and by[margin][2]:
+                out[kind] = margin - 1e-9
+    return out
+
+
 def _tree_sql(tree, x: list[Column]) -> Column:
     if not isinstance(tree, tuple):
         return F.lit(float(tree))
@@ -270,50 +341,34 @@ def _tree_sql(tree, x: list[Column]) -> Column:
 
 
 def fit(candidates: DataFrame) -> tuple[float, list, dict[int, float]] | None:
-    """Model of ``candidates`` (doc_id, pii_base, pii_more): prior, trees, and the margin threshold per kind."""
-    c = candidates.select("doc_id", "pii_base", F.explode("pii_more").alias("c"))
-    c = c.where(_label(F.col("pii_base"), F.col("c")) | ~F.col("c.unsure"))
+    """Model of ``candidates`` (doc_id, pii_more): prior, trees, and the margin threshold per kind."""
+    c = candidates.select("doc_id", F.explode("pii_more").alias("c")).where("c.label or not c.unsure")
     c = c.select((F.coalesce(fold(F.col("doc_id"), FOLDS), F.lit(1)) == 0).alias("held"),
-                 _label(F.col("pii_base"), F.col("c")).cast("long").alias("label"), *(F.col(f"c.{f}") for f in FEATURES))
+                 F.col("c.label").cast("long").alias("label"), *(F.col(f"c.{f}") for f in FEATURES))
     table = c.groupBy("held", *FEATURES).agg(F.count("*").alias("n"), F.sum("label").alias("pos")).collect()
     rows = sorted((tuple(r[f] for f in FEATURES), bool(r["held"]), float(r["n"]), float(r["pos"])) for r in table)
     fitted = [(x, n, pos) for x, held, n, pos in rows if not held]
     if not fitted:
         return None
     prior, trees = boost(fitted)
-    thresholds = {}
-    for kind in range(len(KINDS)):
-        own = [r for r in rows if r[0][0] == kind]
-        held = [r for r in own if r[1]]
-        if sum(r[2] for r in held) < 4 * MIN_LEAF:  # too few to hold out: calibrate on all of them
-            held = own
-        scored = sorted(((prior + sum(_value(t, x) for t in trees), n, pos) for x, _, n, pos in held), reverse=True)
-        n = pos = 0.0
-        for margin, a, b in scored:
-            n, pos = n + a, pos + b
-            if n >= MIN_LEAF and pos >= PRECISION * n:
-                thresholds[kind] = margin - 1e-9
-    return prior, trees, thresholds
+    return prior, trees, thresholds(rows, prior, trees)
 
 
 def all_spans(base: Column, more: Column, model) -> Column:
     """Base spans and the selected candidates that no base span covers, sorted by start, kind and end."""
-    prior, trees, thresholds = model or (0.0, [], {})
-
-    def checked(c: Column) -> Column:
-        return c["known"] & c["kind"].isin(KINDS.index("email"), KINDS.index("phone"))
+    prior, trees, least = model or (0.0, [], {})
 
     def chosen(c: Column) -> Column:
-        if not thresholds:
-            return checked(c)
-        margin = sum((_tree_sql(t, [c[f] for f in FEATURES]) for t in trees), F.lit(prior))
+        by_format = c["known"] & c["kind"].isin(KINDS.index("email"), KINDS.index("phone"))
+        if not least:
+            return by_format
         need = F.lit(None).cast("double")
-        for kind, t in thresholds.items():
+        for kind, t in least.items():
             need = F.when(c["kind"] == kind, F.lit(t)).otherwise(need)
-        return F.coalesce(margin >= need, F.lit(False)) | checked(c)
+        margin = sum((_tree_sql(t, [c[f] for f in FEATURES]) for t in trees), F.lit(prior))
+        return F.coalesce(margin >= need, by_format)
 
-    kept = F.filter(more, lambda c: chosen(c))
-    kept = F.filter(kept, lambda c: ~F.exists(base, lambda b: (b["start"] <= c["start"]) & (b["end"] >= c["end"])))
+    kept = F.filter(more, lambda c: ~c["inside"] & chosen(c))
     return F.array_sort(F.concat(base, F.transform(kept, lambda c: F.struct(
         c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))))
 
@@ -339,17 +394,24 @@ def spans(docs: DataFrame) -> DataFrame:
 
 def redacted(text: Column, found: Column) -> Column:
     """``text`` with every run of overlapping spans replaced by the kind of its first span, as ``[KIND]``."""
-    init = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        fresh_run = F.struct(
-            s["end"].alias("at"),
-            F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(_name(s["kind"])), F.lit("]")).alias("out"))
-        inside = F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))
-        return F.when((s["start"] < acc["at"]), inside).otherwise(fresh_run)
-
-    done = F.aggregate(found, init, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return F.when(F.size(found) > 0, done).otherwise(text)
+    def cut(chunks: Column, a: Column, b: Column) -> Column:
+        first = F.floor(a / CHUNK).cast("int")
+        parts = F.slice(chunks, first + 1, F.floor((b - 1) / CHUNK).cast("int") - first + 1)
+        return F.when(b > a, F.substring(F.array_join(parts, ""), (a - first * CHUNK + 1).cast("int"), (b - a).cast("int"))).otherwise(F.lit(""))
+
+    def runs(reach: Column) -> Column:
+        spans_ = F.zip_with(found, F.concat(F.array(F.lit(0).cast("long")), reach), lambda s, before: F.struct(
+            before.alias("from"), s["start"].alias("start"), s["kind"].alias("kind")))
+        return F.filter(spans_, lambda s: s["start"] >= s["from"])
+
+    def joined(chunks: Column, reach: Column) -> Column:
+        parts = F.transform(runs(reach), lambda s: F.concat(
+            cut(chunks, s["from"], s["start"].cast("long")), F.lit("["), F.upper(_name(s["kind"])), F.lit("]")))
+        return F.concat(F.array_join(parts, ""), cut(chunks, F.element_at(reach, -1), F.length(text).cast("long")))
+
+    chunks = F.regexp_extract_all(text, F.lit(rf"[\s\S]{{1,{CHUNK}}}"), F.lit(0))
+    reach = _running_max(F.transform(found, lambda s: s["end"].cast("long")))
+    return F.when(F.size(found) > 0, _let(chunks, lambda c: _let(reach, lambda r: joined(c, r)))).otherwise(text)
 
 
 def redact(docs: DataFrame) -> DataFrame:
