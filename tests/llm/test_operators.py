@@ -9,6 +9,7 @@ from fractions import Fraction
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
@@ -375,7 +376,31 @@ def test_repeats_equal_brute_force(spark):
         assert r["kept_sha256"] == hashlib.sha256(want[3]).hexdigest()
 
 
-def test_repeats_odd_rows(odd, none, monkeypatch):
+def brute_repeats(rows, length=400):
+    """n_removed and kept_sha256 per document from the counts of all strings."""
+    texts_ = [(t or "").encode() for _, t in rows]
+    names = [[xxhash.xxh3_128_intdigest(t[s:s + length]) for s in range(len(t) - length + 1)] for t in texts_]
+    seen = Counter(x for row in names for x in row)
+    out = {}
+    for (i, _), t, row in zip(rows, texts_, names):
+        edge = np.zeros(len(t) + 1, int)
+        starts = np.array([s for s, x in enumerate(row) if seen[x] > 1], int)
+        np.add.at(edge, starts, 1)
+        np.add.at(edge, starts + length, -1)
+        gone = np.cumsum(edge)[:-1] > 0
+        out[i] = (int(gone.sum()), hashlib.sha256(np.frombuffer(t, np.uint8)[~gone].tobytes()).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("most", [suffix_dedup.MAX_BROADCAST, 0])
+def test_repeats_of_documents_equal_brute_force(docs, texts, monkeypatch, most):
+    monkeypatch.setattr(suffix_dedup, "MAX_BROADCAST", most)  # 0: all pointers go by shuffle joins
+    got = {r["doc_id"]: (r["n_removed"], r["kept_sha256"])
+           for r in suffix_dedup.remove_repeats(docs).select("doc_id", "n_removed", "kept_sha256").collect()}
+    assert got == brute_repeats(texts)
+
+
+def test_repeats_odd_rows(odd, none):
     got = suffix_dedup.remove_repeats(odd).collect()
     assert len(got) == len(ROWS) and all(r["n_removed"] == r["n_bytes"] for r in got if r["doc_id"] in (6, 7))
     assert suffix_dedup.remove_repeats(none).count() == 0

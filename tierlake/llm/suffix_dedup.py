@@ -16,7 +16,8 @@ the anchor's identifier is the initial bucket, runs alone in theirs leave, and
 runs of equal content are solved at once. Level 1 splits the runs of the other shared buckets into blocks
 of ``BLOCK`` starts by the identifier of the bytes that all strings of the
 block share; level 2 compares the single strings of blocks that are shared but
-differ at the edges. Each level keeps one representative of equal rows, so a
+differ at the edges. Every level compares two identifiers, its bucket's and
+the refined one, so rows are only taken as equal on 128 bits. Each level keeps one representative of equal rows, so a
 passage shared by very many documents costs a row per occurrence and two block
 refinements per different surrounding. All levels are partial aggregates and
 joins on identifiers; no bucket is collected.
@@ -166,7 +167,8 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, text_hash, text, runs: a row per string start with the string's identifier."""
+    """doc_id, text_hash, text, runs: a row per string start with the identifiers of its block's bucket (equal for
+    equal strings, whose blocks have equal offsets from equal anchors) and of the string."""
     for batch in batches:
         who, rows = [], []
         for i, (text, runs) in enumerate(zip(texts_of(batch.column(2)), batch.column(3).to_pylist())):
@@ -175,14 +177,16 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for run in runs:
                 h256, a = (whole, 0) if whole is not None else _around(data, run["anchor"])
                 s = np.arange(run["lo"], run["hi"] + 1)
+                last = s + (run["anchor"] - s) % BLOCK  # of the string's block
+                shared = combined(h256, last - a, LENGTH - BLOCK + 1)
                 who.append(np.full(len(s), i))
-                rows.append(np.stack([combined(h256, s - a, LENGTH).view(np.int64), s, np.full(len(s), run["solved"])]))
+                rows.append(np.stack([shared.view(np.int64), combined(h256, s - a, LENGTH).view(np.int64), s, np.full(len(s), run["solved"])]))
         if who:
             take = pa.array(np.concatenate(who))
-            name, s, solved = np.concatenate(rows, axis=1)
+            shared, name, s, solved = np.concatenate(rows, axis=1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), pa.array(name), pa.array(s.astype(np.int32)), pa.array(solved == 1)],
-                ["doc_id", "text_hash", "name", "lo", "solved"])
+                [batch.column(0).take(take), batch.column(1).take(take), pa.array(shared), pa.array(name), pa.array(s.astype(np.int32)),
+                 pa.array(solved == 1)], ["doc_id", "text_hash", "shared", "name", "lo", "solved"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,9 +272,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         one.select("doc_id", "text_hash", _run(F.lit(True))))
 
     strings = saved(_with_text(docs, open_blocks, "inner").dropDuplicates(["doc_id", "text_hash"]).mapInArrow(
-        _strings, f"{ids}, name long, lo int, solved boolean"))
-    twice = strings.groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
-    found = strings.where("not solved").join(twice, "name").select("doc_id", "text_hash", "lo", F.col("lo").alias("hi"))
+        _strings, f"{ids}, shared long, name long, lo int, solved boolean"))
+    twice = strings.groupBy("shared", "name").agg(F.count("*").alias("n")).where("n > 1").select("shared", "name")
+    found = strings.where("not solved").join(twice, ["shared", "name"]).select("doc_id", "text_hash", "lo", F.col("lo").alias("hi"))
     found = solved.select("doc_id", "text_hash", "lo", "hi").union(
         marked.where(alike & ~F.col("solved")).select("doc_id", "text_hash", "lo", "hi")).union(found)
     told = _with_text(docs, _merged(found).select("doc_id", "text_hash", F.struct("lo", "hi").alias("run")), "left")
