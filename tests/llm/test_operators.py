@@ -100,7 +100,7 @@ def test_quality_judges_small_groups(spark):
     rows = [(prose(rng, 120), lang, source, "good") for lang, source, n in (("en", "big", 500), ("en", "tiny", 30), ("xx", "rare", 30)) for _ in range(n)]
     rows += [(prose(rng, 60).replace(" ", " | "), lang, source, "junk") for lang, source in (("en", "tiny"), ("xx", "rare")) for _ in range(2)]
     docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string, source string, label string")
-    for part in (docs, docs.where("lang = 'xx'")):  # a table with large groups, and one under MIN_ROWS
+    for part in (docs, docs.where("lang = 'xx'")):  # a table with large groups, and one of few rows
         n = Counter(r["label"] for r in part.select("label").collect())
         kept = Counter(r["label"] for r in quality_rules.keep_good(part).collect())
         assert kept["junk"] == 0 and kept["good"] > 0.97 * n["good"]

@@ -13,9 +13,13 @@ squared distance exceeds a far chi-square quantile are rejected.
 Each step is a pair of Spark aggregates over the light statistics table
 (a distance quantile, then moments of the rows within it), so a group with a
 third of all rows only ever meets partial aggregates; nothing is sampled.
-Groups under ``MIN_ROWS`` rows are judged by a model of all rows of their
-language, or of the whole table if the language has fewer than ``MIN_ROWS``;
-the floors of the scatter keep the estimate regular in a table of any size.
+Quantiles are read off counts of fixed bins, which add up across tasks: a map
+task ships at most a few thousand counts per model, whatever its rows.
+
+Every group is fitted, and so are every language and the whole table. A group of n
+rows is judged by its own estimate with weight n / (n + ``PRIOR_ROWS``) and its
+language's with the rest; the language's is drawn towards the whole table's in the
+same way. The floors of the scatter keep the estimate regular in a table of any size.
 
 Edge cases. Null, empty and white-space texts have zero counts and fail the
 base rules. Null languages or sources are groups of their own. Equal rows get
@@ -31,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierlake.llm.common import bounded, fresh, prepare, saved, texts_of
@@ -41,9 +45,10 @@ MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 SHARE = 0.75  # of a group's rows that carry the estimate
 STEPS = 3
-MIN_ROWS = 200
+PRIOR_ROWS = 200  # rows that the estimate of the wider group counts for
+BIN = 1e-3  # width of the quantile bins: of a statistic, and of log(1 + squared distance)
 TAIL = 1e-3  # of the chi-square distribution beyond the cutoff
-MAX_MODELS = 100_000  # broadcast bound (rows of about 300 bytes)
+MAX_MODELS = 100_000  # broadcast bound (rows of about 500 bytes)
 
 SYMBOLS = np.frombuffer(b"#*$%&|<>", np.uint8)
 PUNCT = np.array([c for c in range(33, 127) if not chr(c).isalnum() and c not in set(SYMBOLS.tolist())])
@@ -166,26 +171,52 @@ def _pairs() -> list[tuple[int, int]]:
 
 
 PARAMS = "model string, start int, n double, det double, " + ", ".join(
-    [f"m{i} double" for i in range(len(DIMS))] + [f"p{i}_{j} double" for i, j in _pairs()])
+    [f"m{i} double" for i in range(len(DIMS))] + [f"{x}{i}_{j} double" for x in "cp" for i, j in _pairs()])
+
+
+def _spread(r: dict, of: str) -> np.ndarray:
+    """The symmetric matrix in the fields ``of`` of a row."""
+    out = np.zeros((len(DIMS), len(DIMS)))
+    for i, j in _pairs():
+        out[i, j] = out[j, i] = r[f"{of}{i}_{j}"]
+    return out
+
+
+def _param_row(model: str, start: int, n: float, mean: np.ndarray, cov: np.ndarray) -> list:
+    inverse = np.linalg.inv(cov)
+    return [model, start, float(n), float(np.linalg.slogdet(cov)[1]), *mean, *(m[i, j] for m in (cov, inverse) for i, j in _pairs())]
 
 
 def _invert(frames: Iterator[pd.DataFrame], factor: float) -> Iterator[pd.DataFrame]:
-    """Moments (n, s_i, q_i_j) of each (model, start) to mean, precision and log determinant."""
-    d = len(DIMS)
+    """Moments (n, s_i, q_i_j) of each (model, start) to mean, scatter, precision and log determinant."""
+    for frame in frames:
+        rows = []
+        for r in frame.to_dict("records"):
+            mean = np.array([r[f"s{i}"] for i in range(len(DIMS))]) / r["n"]
+            cov = (_spread(r, "q") / r["n"] - np.outer(mean, mean)) * factor + np.diag(np.square(FLOOR))
+            rows.append(_param_row(r["model"], r["start"], r["n"], mean, cov))
+        yield pd.DataFrame(rows, columns=[c.split(" ")[0] for c in PARAMS.split(", ")])
+
+
+def _drawn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of PARAMS with a group's ``rows`` and the wider group's estimate (prefix ``w_``) to the estimate drawn
+    towards it."""
     for frame in frames:
         rows = []
         for r in frame.to_dict("records"):
-            mean = np.array([r[f"s{i}"] for i in range(d)]) / r["n"]
-            cov = np.zeros((d, d))
-            for i, j in _pairs():
-                cov[i, j] = cov[j, i] = r[f"q{i}_{j}"] / r["n"] - mean[i] * mean[j]
-            cov = cov * factor + np.diag(np.square(FLOOR))
-            inverse = np.linalg.inv(cov)
-            rows.append([r["model"], r["start"], float(r["n"]), float(np.linalg.slogdet(cov)[1]), *mean,
-                         *(inverse[i, j] for i, j in _pairs())])
+            own = r["rows"] / (r["rows"] + PRIOR_ROWS)
+            mean, wide = ([r[f"{x}m{i}"] for i in range(len(DIMS))] for x in ("", "w_"))
+            rows.append(_param_row(r["model"], 0, r["rows"], own * np.array(mean) + (1 - own) * np.array(wide),
+                                   own * _spread(r, "c") + (1 - own) * _spread(r, "w_c")))
         yield pd.DataFrame(rows, columns=[c.split(" ")[0] for c in PARAMS.split(", ")])
 
 
+def drawn(params: DataFrame, wider: DataFrame) -> DataFrame:
+    """``params`` (PARAMS, rows, wide: the wider model's name) drawn towards the estimates ``wider`` (PARAMS)."""
+    wide = wider.select(*(F.col(c).alias(f"w_{c}") for c in wider.columns))
+    return params.join(bounded(wide, MAX_MODELS), F.col("wide") == F.col("w_model")).mapInPandas(_drawn, PARAMS)
+
+
 def _moments(rows: DataFrame, factor: float) -> DataFrame:
     x = [F.col(c) for c in DIMS]
     return rows.groupBy("model", "start").agg(
@@ -194,6 +225,22 @@ def _moments(rows: DataFrame, factor: float) -> DataFrame:
     ).mapInPandas(lambda f: _invert(f, factor), PARAMS)
 
 
+def quantile_bins(rows: DataFrame, by: list[str], share: float) -> DataFrame:
+    """(``by``, edge): the least ``bin`` of each group up to which at least ``share`` of its rows lie."""
+    counts = rows.groupBy(*by, "bin").agg(F.count("*").alias("rows"))
+    own = Window.partitionBy(*by)
+    upto = counts.withColumn("upto", F.sum("rows").over(own.orderBy("bin"))).withColumn("n", F.sum("rows").over(own))
+    return upto.where(F.col("upto") >= share * F.col("n")).groupBy(*by).agg(F.min("bin").alias("edge"))
+
+
+def medians(rows: DataFrame, values: list[Column], name: str) -> DataFrame:
+    """Median of each of ``values`` per model, to half a bin: (model, ``name``0, ``name``1, ...)."""
+    bins = F.array(*(F.floor(v / BIN) for v in values))
+    edges = quantile_bins(rows.select("model", F.posexplode(bins).alias("dim", "bin")), ["model", "dim"], 0.5)
+    return edges.groupBy("model").agg(*(
+        F.max(F.when(F.col("dim") == i, (F.col("edge") + 0.5) * BIN)).alias(f"{name}{i}") for i in range(len(values))))
+
+
 def distance(x: list[Column]) -> Column:
     """Squared Mahalanobis distance of the columns ``x`` under the joined parameters."""
     gap = [c - F.col(f"m{i}") for i, c in enumerate(x)]
@@ -201,21 +248,21 @@ def distance(x: list[Column]) -> Column:
 
 
 def fit(rows: DataFrame) -> DataFrame:
-    """MCD parameters per model, from ``rows`` (model, the DIMS): one row per model with start 0 and the cutoff's scale."""
+    """MCD parameters per model, from ``rows`` (model, the DIMS): one row per model."""
     d = len(DIMS)
     x = [F.col(c) for c in DIMS]
-    median = saved(rows.groupBy("model").agg(*(F.percentile_approx(c, 0.5, 1000).alias(f"m{i}") for i, c in enumerate(x))))
-    mad = rows.join(bounded(median, MAX_MODELS), "model").groupBy("model").agg(
-        *(F.percentile_approx(F.abs(c - F.col(f"m{i}")), 0.5, 1000).alias(f"a{i}") for i, c in enumerate(x)))
+    median = saved(medians(rows, x, "m"))
+    mad = medians(rows.join(bounded(median, MAX_MODELS), "model"), [F.abs(c - F.col(f"m{i}")) for i, c in enumerate(x)], "a")
     variance = [F.pow(F.col(f"a{i}") * 1.4826, 2) + FLOOR[i] ** 2 for i in range(d)]
     robust = median.join(mad, "model").select(
         "model", F.lit(0).alias("start"), F.lit(0.0).alias("n"), F.lit(0.0).alias("det"), *(f"m{i}" for i in range(d)),
+        *((variance[i] if i == j else F.lit(0.0)).alias(f"c{i}_{j}") for i, j in _pairs()),
         *((1 / variance[i] if i == j else F.lit(0.0)).alias(f"p{i}_{j}") for i, j in _pairs()))
     params = saved(robust.union(_moments(rows.withColumn("start", F.lit(1)), 1.0)))
     for _ in range(STEPS):
-        near = rows.join(bounded(params, MAX_MODELS), "model").withColumn("d2", distance(x))
-        edge = saved(near.groupBy("model", "start").agg(F.percentile_approx("d2", SHARE, 5000).alias("edge")))
-        inner = near.join(bounded(edge, MAX_MODELS), ["model", "start"]).where("d2 <= edge")
+        near = rows.join(bounded(params, MAX_MODELS), "model").withColumn("bin", F.floor(F.log1p(F.greatest(distance(x), F.lit(0.0))) / BIN))
+        edge = saved(quantile_bins(near, ["model", "start"], SHARE))
+        inner = near.join(bounded(edge, MAX_MODELS), ["model", "start"]).where("bin <= edge")
         params = saved(_moments(inner, consistency(SHARE, d)))
     best = params.groupBy("model").agg(F.min_by("start", F.struct("det", "start")).alias("start"))
     best = saved(params.join(best, ["model", "start"]))
@@ -224,26 +271,18 @@ def fit(rows: DataFrame) -> DataFrame:
 
 
 def _models(stats: DataFrame, lang: str, source: str, failed: str) -> DataFrame:
-    """The model that judges each (language, source): its own, its language's or the table's; and all models that
-    its rows are fitted to (``fits``)."""
-    own = F.concat(F.lit("own "), F.to_json(F.struct(F.col("lang"), F.col("source"))))
-    by_lang = F.concat(F.lit("lang "), F.to_json(F.struct(F.col("lang"))))
-    n = saved(stats.where(~F.col(failed)).groupBy(F.col(lang).alias("lang"), F.col(source).alias("source")).agg(F.count("*").alias("n")))
-    small = F.col("n") < MIN_ROWS
-    langs = saved(n.groupBy("lang").agg(F.sum("n").alias("n_lang"), F.max(small).alias("any_small")))
-    whole = langs.agg(F.coalesce(F.max(F.col("any_small") & (F.col("n_lang") < MIN_ROWS)), F.lit(False)).alias("all_used"))
-    joined = n.join(bounded(langs.withColumnRenamed("lang", "l"), MAX_MODELS), F.col("lang").eqNullSafe(F.col("l"))).join(
-        F.broadcast(whole), F.lit(True))
-    enough = F.col("n_lang") >= MIN_ROWS
-    return joined.select(
-        "lang", "source", F.when(~small, own).when(enough, by_lang).otherwise("all").alias("model"),
-        F.array_compact(F.array(F.when(~small, own), F.when(F.col("any_small") & enough, by_lang),
-                                F.when(F.col("all_used"), F.lit("all")))).alias("fits"))
+    """lang, source, rows past the base rules, rows_lang of their language, and the names of the models that they are
+    fitted to: own, by_lang and the table's."""
+    n = stats.where(~F.col(failed)).groupBy(F.col(lang).alias("lang"), F.col(source).alias("source")).agg(F.count("*").alias("rows"))
+    return n.select("lang", "source", "rows", F.sum("rows").over(Window.partitionBy("lang")).alias("rows_lang"),
+                    F.concat(F.lit("own "), F.to_json(F.struct("lang", "source"))).alias("own"),
+                    F.concat(F.lit("lang "), F.to_json(F.struct("lang"))).alias("by_lang"), F.lit("all").alias("whole"))
 
 
 def _judge(stats: DataFrame, models: DataFrame, params: DataFrame, lang: str, source: str, names: dict[str, str]) -> DataFrame:
     """``stats`` with the columns of its model's parameters and ``d2`` (null without a model)."""
-    models = models.drop("fits").join(params, "model", "left").withColumnsRenamed({"lang": "model_lang", "source": "model_source"})
+    models = models.select("lang", "source", F.col("own").alias("model")).join(params, "model").withColumnsRenamed(
+        {"lang": "model_lang", "source": "model_source"})
     models = bounded(saved(models), MAX_MODELS)
     joined = stats.join(models, stats[lang].eqNullSafe(models["model_lang"]) & stats[source].eqNullSafe(models["model_source"]), "left")
     return joined.withColumn("d2", distance([stats[names[c]] for c in DIMS]))
@@ -254,7 +293,10 @@ def _fitted(stats: DataFrame, lang: str, source: str, names: dict[str, str]) ->
     rows = stats.where(~F.col(names["base_failed"])).select(
         F.col(lang).alias("l"), F.col(source).alias("s"), *(F.col(names[c]).alias(c) for c in DIMS))
     rows = rows.join(bounded(models, MAX_MODELS), rows["l"].eqNullSafe(models["lang"]) & rows["s"].eqNullSafe(models["source"]))
-    return models, fit(rows.select(F.explode("fits").alias("model"), *DIMS))
+    alone = fit(rows.select(F.explode(F.array("own", "by_lang", "whole")).alias("model"), *DIMS))
+    langs = models.select(F.col("by_lang").alias("model"), F.col("rows_lang").alias("rows"), F.col("whole").alias("wide")).distinct()
+    langs = saved(drawn(alone.join(langs, "model"), alone))
+    return models, saved(drawn(alone.join(models.select(F.col("own").alias("model"), "rows", F.col("by_lang").alias("wide")), "model"), langs))
 
 
 def score(docs: DataFrame, tail: float = TAIL) -> DataFrame:
@@ -264,8 +306,8 @@ def score(docs: DataFrame, tail: float = TAIL) -> DataFrame:
     models, params = _fitted(stats, "lang", "source", names)
     cutoff = chi2_quantile(1 - tail, len(DIMS))
     return _judge(stats, models, params, "lang", "source", names).select(
-        "doc_id", stats["lang"], stats["source"], *COUNTS, "base_failed", *DIMS, F.col("d2").alias("outlier_d2"),
-        (~F.col("base_failed") & F.coalesce(F.col("d2") <= cutoff, F.lit(True))).alias("kept"))
+        "doc_id", *COUNTS, "base_failed", (~F.col("base_failed") & F.coalesce(F.col("d2") <= cutoff, F.lit(True))).alias("kept"),
+        stats["lang"], stats["source"], *DIMS, F.col("d2").alias("outlier_d2"))
 
 
 def keep_good(docs: DataFrame, tail: float = TAIL) -> DataFrame:
