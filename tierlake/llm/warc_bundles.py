@@ -11,7 +11,8 @@ Equal payloads (UTF-8 bytes, null is empty, compared by SHA-256 and length)
 are stored once if they have at least ``min_bytes`` bytes: the largest page_id
 is the response, the others are revisits that carry the HTTP header and refer
 to it. The duplicate groups are found on (page_id, digest) rows with partial
-aggregates.
+aggregates, and joined back to those rows by a broadcast of checked size, or by
+a shuffle join with a plain scan on either side, of which Spark splits a hot payload.
 
 Files are written through the file system of the folder's URI, which every
 executor must reach. Each task attempt writes its own file names and the index
@@ -40,22 +41,31 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import prepare, saved
+from tierlake.llm.common import bounded, prepare, saved
 
 FRAME_BYTES = 1 << 20
 BUNDLE_BYTES = 256 << 20
 READ_BYTES = 64 << 20  # of records per reading task: index rows are small, what they point to is not
+MAX_BROADCAST = 200_000  # payloads of two pages or more, rows of about 100 bytes; beyond, a shuffle join
 SEEK_MAGIC, SKIPPABLE = 0x8F92EAB1, 0x184D2A5E
 INDEX = "page_id long, bundle string, frame int, frame_offset long, frame_bytes long, record_offset long, record_bytes long"
 RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
 
 
+def arrow_uri(folder: str) -> str:
+    """A folder as Spark names it, as Arrow does."""
+    if folder.startswith("file:/") and not folder.startswith("file://"):
+        return "file://" + folder[5:]
+    if folder.startswith(("s3a://", "s3n://")):
+        return "s3" + folder[3:]
+    return folder
+
+
 def file_system(folder: str):
     """(file system, path) of a folder URI."""
     from pyarrow import fs
 
-    if folder.startswith("file:/") and not folder.startswith("file://"):
-        folder = "file://" + folder[5:]
+    folder = arrow_uri(folder)
     return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
 
 
@@ -203,9 +213,10 @@ def write_bundles(pages: DataFrame, folder: str, min_bytes: int = 1, frame_bytes
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
     key = F.sha2(F.col("html").cast("binary"), 256).alias("key")
     sums = pages.select("page_id", key, F.octet_length("html").alias("size")).where(f"size >= {min_bytes} and page_id is not null")
-    groups = sums.groupBy("key", "size").agg(F.max("page_id").alias("first"), F.min("page_id").alias("last"))
+    # Written first: joined on its own, a payload of very many pages (an empty or an error page) is broadcast or split.
+    groups = saved(sums.groupBy("key", "size").agg(F.max("page_id").alias("first"), F.min("page_id").alias("last")).where("first <> last"))
     # only pages with an equal payload elsewhere: rows of ids, without payloads
-    revisits = saved(sums.join(groups.where("first <> last"), ["key", "size"]).where("page_id < first").select(
+    revisits = saved(sums.join(bounded(groups, MAX_BROADCAST), ["key", "size"]).where("page_id < first").select(
         F.col("page_id").alias("id"), F.col("key").alias("id_key"), F.col("first").alias("refers_to")).distinct())
     keyed = pages.withColumn("key", key)
     told = keyed.join(revisits, (keyed["page_id"] == revisits["id"]) & (keyed["key"] == revisits["id_key"]), "left")
