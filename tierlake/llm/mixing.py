@@ -21,8 +21,9 @@ block of another is released stays empty.
 
 Edge cases. A null source is a source of its own; null ids are ordered like
 others; equal rows take neighbouring ranks. An empty table stays empty. With
-given weights, sources without one share the weight 0 < w of the smallest
-given one. Extra columns are passed through by ``mixed``.
+given weights, each source without one or with the weight 0 has the smallest weight
+above 0 that is given (1 if there is none), as no row may be dropped; a negative or
+infinite weight raises a ``ValueError``. Extra columns are passed through by ``mixed``.
 """
 
 from __future__ import annotations
@@ -40,7 +41,6 @@ from pyspark.sql import functions as F
 from tierlake.llm.common import fresh, prepare, saved
 
 BLOCK = 32  # documents
-PERIOD = 1_000  # slots of a period of ``schedule``
 PART = 1_000_000  # slots on the driver at once
 MAX_BROADCAST = 1_000_000  # blocks of the schedule
 BUCKET_ROWS = 20_000
@@ -48,22 +48,6 @@ ALPHA = 0.5  # default weights: document counts to this power
 MAX_SOURCES = 100_000  # sources have one row each on the driver
 
 
-def shares(weights: list[float], period: int) -> list[int]:
-    """Whole slots per source that sum to ``period``: largest remainder, at least one each."""
-    total = sum(weights)
-    exact = [w / total * period for w in weights]
-    out = [max(1, math.floor(e)) for e in exact]
-    order = sorted(range(len(out)), key=lambda i: (out[i] - exact[i], i))
-    i = 0
-    while sum(out) < period:
-        out[order[i % len(out)]] += 1
-        i += 1
-    while sum(out) > period:
-        j = max((j for j in range(len(out)) if out[j] > 1), key=lambda j: (out[j] - exact[j], j))
-        out[j] -= 1
-    return out
-
-
 def deal(weights: list[float], blocks: list[int]) -> Iterator[tuple[int, int, int, bool]]:
     """(slot, source, its k from 0, whether every source has kept its slots so far) of all blocks, earliest
     deadline first among released blocks. The first source to run out leaves its later slots to others or empty."""
@@ -95,11 +79,6 @@ def deal(weights: list[float], blocks: list[int]) -> Iterator[tuple[int, int, in
             heapq.heappush(waiting, (taken[i] * whole // share[i], i))
 
 
-def schedule(share: list[int]) -> list[tuple[int, int]]:
-    """(source, its k from 0) of each slot of one period of whole shares."""
-    return [(i, k) for _, i, k, _ in deal(share, share)]
-
-
 def _dealt(spark: SparkSession, weights: list[float], blocks: list[int]) -> DataFrame:
     """The schedule as rows (mix_source: index, mix_k, mix_slot, mix_on), at most ``PART`` of them on the driver."""
     names = ["mix_slot", "mix_source", "mix_k", "mix_on"]
@@ -129,7 +108,9 @@ def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, block
         return docs.select("*", *(F.lit(0).cast("long").alias(new[c]) for c in ("block", "slot", "place")),
                            F.lit(True).alias(new["on_target"]))
     if weights:
-        rest = min(w for w in weights.values() if w > 0)
+        if any(not 0 <= w < math.inf for w in weights.values()):
+            raise ValueError("weights must be finite and not negative")
+        rest = min((w for w in weights.values() if w > 0), default=1.0)
         target = [weights.get(s) or rest for s in n]
     else:
         target = [c ** ALPHA for c in n.values()]
