@@ -413,7 +413,7 @@ def test_mixing_stays_within_a_block(docs, odd, none):
     rows = mixing.mixed(docs.select("doc_id", "source")).collect()
     n = Counter(r["source"] for r in rows)
     names = sorted(n)
-    share = mixing.shares([n[s] ** mixing.ALPHA for s in names], mixing.PERIOD)
+    share = [n[s] ** mixing.ALPHA for s in names]
     at = {r["slot"]: r["source"] for r in rows}
     assert len(rows) == docs.count() and len({(r["slot"], r["place"]) for r in rows}) == len(rows)
     taken, total = Counter(), sum(share)
@@ -425,12 +425,31 @@ def test_mixing_stays_within_a_block(docs, odd, none):
     assert given.count() == docs.count()
 
 
+def test_mixing_weights_of_zero(docs):
+    ids = docs.select("doc_id", "source")
+    names = [r["source"] for r in ids.distinct().select("source").distinct().collect()]
+
+    def slots(weights):
+        return sorted(map(tuple, mixing.mixed(ids, weights).collect()))
+
+    assert slots({s: 0.0 for s in names}) == slots({s: 1.0 for s in names})
+    first, *others = sorted(names)
+    assert slots({first: 4.0, others[0]: 2.0, **{s: 0.0 for s in others[1:]}}) == slots(
+        {first: 4.0, **{s: 2.0 for s in others}})
+    for bad in (-1.0, math.nan, math.inf):
+        with pytest.raises(ValueError, match="finite and not negative"):
+            mixing.mixed(ids, {first: bad})
+
+
 @pytest.mark.parametrize("weights", [[1], [1, 1], [5, 3, 2], [997, 1, 1, 1], [0.1] * 13])
 def test_schedule_windows(weights):
-    share = mixing.shares(weights, 1000)
-    assert sum(share) == 1000
-    for slot, (i, k) in enumerate(mixing.schedule(share)):
-        assert k * 1000 // share[i] <= slot < -(-(k + 1) * 1000 // share[i])
+    total = sum(map(Fraction, weights))
+    share = [Fraction(w) / total for w in weights]
+    blocks = [math.ceil(1000 * w) for w in share]
+    on_target = [(slot, i, k) for slot, i, k, on in mixing.deal(weights, blocks) if on]
+    assert len(on_target) >= 997
+    for slot, i, k in on_target:
+        assert math.floor(k / share[i]) <= slot < math.ceil((k + 1) / share[i])
 
 
 @pytest.mark.parametrize("weights,blocks", [
@@ -444,7 +463,7 @@ def test_deal_follows_the_given_weights_over_many_periods(weights, blocks):
         taken[i], last, kept = k + 1, slot, kept + on_target
         if on_target and not slot % 97:
             assert all(abs(t - (slot + 1) * w) < 1 for t, w in zip(taken, share))
-    assert taken == blocks and kept > 30 * mixing.PERIOD
+    assert taken == blocks and kept > 30_000
 
 
 def test_mixing_dealt_in_parts(spark, docs, monkeypatch):
@@ -514,7 +533,22 @@ def test_toxic_words_equal_brute_force_and_long_texts():
 # --- archives ---
 
 
-def test_warc_round_trip(spark, tmp_path):
+def test_warc_odd_ids(spark, tmp_path):
+    """Repeated ids are records of their own; null ids are always responses and nothing refers to them."""
+    rows = [(1, "a"), (1, "a"), (2, "b"), (2, "b"), (3, "b"), (None, "b"), (None, "b"), (4, "c"), (None, "c")]
+    pages = spark.createDataFrame([(i, "u", h) for i, h in rows], "page_id long, url string, html string")
+    folder = str(tmp_path / "warc")
+    index = warc_bundles.write_bundles(pages, folder, min_bytes=0)
+    got = Counter((r["page_id"], r["record_type"], r["refers_to"]) for r in warc_bundles.read_records(index, folder).collect())
+    assert got == Counter({(1, "response", None): 2, (2, "revisit", 3): 2, (3, "response", None): 1, (None, "response", None): 3,
+                           (4, "response", None): 1})
+
+
+def test_warc_names_of_folders():
+    assert [warc_bundles.arrow_uri(u) for u in ("s3a://b/x", "s3n://b/x", "s3://b/x", "file:/x", "/x")] == ["s3://b/x"] * 3 + ["file:///x", "/x"]
+
+
+def test_warc_round_trip(spark, tmp_path, monkeypatch):
     html = ["<p>a</p>", None, "", "<p>a</p>", "é" * 5000, "\r\n\r\nWARC/1.1", "<p>a</p>"]
     pages = spark.createDataFrame([(i, f"http://x/{i}", h, "extra") for i, h in enumerate(html)], "page_id long, url string, html string, payload string")
     folder = str(tmp_path / "warc")
@@ -527,6 +561,9 @@ def test_warc_round_trip(spark, tmp_path):
         assert (r["payload_bytes"], r["payload_digest"], r["url"]) == (len(payload), warc_bundles.digest(payload), f"http://x/{i}")
         assert (r["record_type"], r["refers_to"]) == (("response", None) if first == i else ("revisit", first))
         assert r["payload"] is None if first != i else bytes(r["payload"]) == payload
+    monkeypatch.setattr(warc_bundles, "MAX_BROADCAST", 0)
+    shuffled = warc_bundles.write_bundles(pages, str(tmp_path / "shuffled"), min_bytes=0)
+    assert {r["page_id"]: r for r in warc_bundles.read_records(shuffled, str(tmp_path / "shuffled")).collect()} == got
     one = warc_bundles.read_records(index.where("page_id = 4"), folder).collect()
     assert [r["page_id"] for r in one] == [4] and bytes(one[0]["payload"]) == ("é" * 5000).encode()
     assert warc_bundles.write_bundles(pages.where("false"), folder).count() == 0

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import uuid
 from itertools import chain
 
 import numpy as np
@@ -33,6 +34,15 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet in the shared checkpoint folder: as ``saved``, in less space for wide or repetitive rows."""
+    spark = df.sparkSession
+    prepare(spark)
+    path = f"{checkpoint_dir(spark)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """``df`` marked for broadcast if it has at most ``max_rows`` rows, else as it is (a shuffle join).
 

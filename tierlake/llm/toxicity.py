@@ -9,8 +9,9 @@ the word does not count. The matched weight, by itself and per word of the
 text, goes through a logistic curve fitted on the same labelled rows.
 
 The labelled rows are a bounded sample of about ``SAMPLE`` ids, taken by hash
-outside the held-out fold; the lexicon is at most ``MAX_TERMS`` words. Scores
-read whole texts and shuffle nothing.
+outside the held-out fold, and their texts are written once; the lexicon is at most
+``MAX_TERMS`` words (those whose odds are surest) and as many exception phrases (the most
+frequent). Scores read whole texts and shuffle nothing.
 
 Edge cases. Null and empty texts get the curve's value for no match. Rows with
 null labels or ids are not learned from; an id labelled twice with different
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierlake.llm.common import fold, prepare, saved
+from tierlake.llm.common import fold, prepare, saved, stored
 
 FOLDS, HELD = 5, 0
 SAMPLE = 40_000
@@ -129,8 +130,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[dict[
     n = marked.count()
     share = min(1.0, sample / max(1, n))
     marked = saved(marked.where(F.pmod(F.xxhash64("label_id"), F.lit(1_000_003)) < 1_000_003 * share))
-    texts = docs.select(F.col("doc_id").cast("long").alias("label_id"), "text").join(
-        F.broadcast(marked), "label_id").select("toxic", "text")
+    texts = stored(docs.select(F.col("doc_id").cast("long").alias("label_id"), "text").join(
+        F.broadcast(marked), "label_id").select("toxic", "text"))
     total = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     good, bad = total.get(0, 0), total.get(1, 0)
     if not good or not bad:
