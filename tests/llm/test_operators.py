@@ -470,6 +470,7 @@ def test_mixing_dealt_in_parts(spark, docs, monkeypatch):
     whole = sorted(map(tuple, mixing.mixed(docs.select("doc_id", "source")).collect()))
     monkeypatch.setattr(mixing, "PART", 7)
     monkeypatch.setattr(mixing, "MAX_BROADCAST", 7)
+    monkeypatch.setattr(mixing, "MAX_OFFSETS", 0)
     assert sorted(map(tuple, mixing.mixed(docs.select("doc_id", "source")).collect())) == whole
 
 

@@ -43,7 +43,8 @@ from tierlake.llm.common import fresh, prepare, saved
 BLOCK = 32  # documents
 PART = 1_000_000  # slots on the driver at once
 MAX_BROADCAST = 1_000_000  # blocks of the schedule
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 5_000
+MAX_OFFSETS = 1_000_000  # broadcast bound of the buckets' first ranks, rows of about 40 bytes
 ALPHA = 0.5  # default weights: document counts to this power
 MAX_SOURCES = 100_000  # sources have one row each on the driver
 
@@ -114,7 +115,6 @@ def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, block
         target = [weights.get(s) or rest for s in n]
     else:
         target = [c ** ALPHA for c in n.values()]
-    names = list(n)
     blocks = [-(-c // block) for c in n.values()]
     slots = _dealt(spark, target, blocks)
 
@@ -126,7 +126,7 @@ def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, block
         return taken[-1]
 
     src, h, bucket, before, rank, group = map(own, ("mix_src", "mix_hash", "mix_bucket", "mix_before", "mix_rank", "mix_group"))
-    source: Column = F.col("source").cast("string")
+    source: Column = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))  # never null: plain joins
     dealt = docs.withColumn(src, source).withColumn(h, F.xxhash64(F.col("doc_id"), F.lit("mix"))).withColumn(
         bucket, F.pmod(F.col(h), F.lit(buckets)))
     sizes = dealt.groupBy(src, bucket).agg(F.count("*").alias("rows"))
@@ -134,11 +134,11 @@ def mixed(docs: DataFrame, weights: dict[str | None, float] | None = None, block
         Window.partitionBy(src).orderBy(bucket)) - F.col("rows")).alias(before))
     in_bucket = Window.partitionBy(src, bucket).orderBy(h, "doc_id")
     ranked = dealt.withColumn(group, F.row_number().over(in_bucket))
-    ranked = ranked.join(F.broadcast(offsets) if len(n) * buckets <= 200_000 else offsets,
-                         ranked[src].eqNullSafe(F.col("o_src")) & (ranked[bucket] == F.col("o_bucket")))
+    ranked = ranked.join(F.broadcast(offsets) if len(n) * buckets <= MAX_OFFSETS else offsets,
+                         (ranked[src] == F.col("o_src")) & (ranked[bucket] == F.col("o_bucket")))
     ranked = ranked.withColumn(rank, F.col(before) + F.col(group) - 1)
-    index = spark.createDataFrame(list(enumerate(names)), "w_index long, w_source string")
-    ranked = ranked.join(F.broadcast(index), F.col(src).eqNullSafe(F.col("w_source")))
+    index = spark.createDataFrame([(i, "" if s is None else f"={s}") for i, s in enumerate(n)], "w_index long, w_source string")
+    ranked = ranked.join(F.broadcast(index), F.col(src) == F.col("w_source"))
     ranked = ranked.withColumn(own("mix_block"), F.floor(F.col(rank) / block))
     own_block = taken[-1]
     ranked = ranked.join(F.broadcast(slots) if sum(blocks) <= MAX_BROADCAST else slots,
