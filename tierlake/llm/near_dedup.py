@@ -217,7 +217,7 @@ def links_across(members: DataFrame, side: DataFrame, k: int, percent: int, leas
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int = ROWS, miss: float = MISS) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, n_links, component_id, kept.
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept, n_links.
 
     Links join documents whose sets of ``k``-word shingles have a Jaccard
     similarity of ``percent``/100 or more; ``component_id`` is the smallest
@@ -274,9 +274,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
     verdict = copies.join(roots, "node", "left").groupBy("doc_id").agg(F.min(F.coalesce("root", "node")).alias("root")).join(
         degree.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return (sig.select("doc_id", "n_shingles").join(verdict, "doc_id", "left")
-            .select("doc_id", "n_shingles", F.coalesce("n_links", F.lit(0)).alias("n_links"),
-                    F.coalesce("root", "doc_id").alias("component_id"))
-            .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+            .withColumn("component_id", F.coalesce("root", "doc_id"))
+            .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
+                    F.coalesce("n_links", F.lit(0)).alias("n_links")))
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
