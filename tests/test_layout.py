@@ -81,3 +81,18 @@ def test_stale_stats_are_detected(spark, tmp_dir):
     stats[0] = (2023, 1, 9)
     with pytest.raises(RuntimeError, match="Wrote 120 rows"):
         write_partitioned(df, f"{tmp_dir}/stale", stats)
+
+
+def test_salted_write_takes_tasks_by_rows_not_by_files(spark, tmp_dir):
+    """A task writes the files of several salts; a large month's rows go to all of its share of the tasks."""
+    cores = spark.sparkContext.defaultParallelism
+    df = _frame(spark, 50).unionByName(
+        spark.range(20_000).select(F.lit(2023).cast("int").alias("year"), F.lit(6).cast("int").alias("month"),
+                                   F.col("id").cast("double").alias("value")))
+    tasks = write_partitioned(df, f"{tmp_dir}/salts", files_per_partition=2, max_rows_per_file=100)
+    assert tasks == min(cores, 222)  # 222 salts
+    rows = spark.read.parquet(f"{tmp_dir}/salts").groupBy("month", F.col("_metadata.file_path").alias("file")).count().collect()
+    assert sum(r["count"] for r in rows) == 20_600 and max(r["count"] for r in rows) <= 100
+    june = [r for r in rows if r["month"] == 6]
+    assert 201 <= len(june) <= 201 + cores
+    assert all(sum(r["month"] == m for r in rows) <= 2 for m in range(1, 13) if m != 6)

@@ -8,8 +8,11 @@
   shuffle key when ``k > 1``.
 * ``max_rows_per_file``: a month with more rows gets proportionally more
   salts, so a month holding a third of all rows is written by many tasks,
-  not one; ``maxRecordsPerFile`` caps any file that a hash collision
-  makes too big.
+  not one; ``maxRecordsPerFile`` ends a file at that many rows.
+* A task takes several salts (about ``ROWS_PER_TASK`` rows): neighbouring ones
+  of a large month, so that it opens few directories, and of small months
+  one each. The shuffle has as many blocks as the rows need, not one per file
+  and input task.
 
 The salt is a hash of the row, not a random number, so a task re-run after
 an executor loss sends every row to the same place again. Per-month salt
@@ -19,6 +22,7 @@ per directory written) and reach the rows through a broadcast join.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import DataFrame, Observation
@@ -45,6 +49,25 @@ def salts_for(rows: int, files_per_partition: int, max_rows_per_file: int | None
     return salts
 
 
+def _tasks(spark, stats: list[tuple[int, int, int]]) -> int:
+    """Write tasks for so many rows, where files don't ask for fewer."""
+    return max(spark.sparkContext.defaultParallelism, math.ceil(sum(n for _, _, n in stats) / ROWS_PER_TASK))
+
+
+def _salt_plan(spark, stats, plan: list[tuple[int, int, int]], files_per_partition: int) -> tuple[int, DataFrame]:
+    """The number of write tasks, and ``_first`` and ``_step`` of each month's salts in the numbering of all salts.
+
+    The salts of months with no more than ``files_per_partition`` come first, one of each month in turn, so that
+    a month's lie apart; those of a larger month are neighbours. Tasks take equal ranges of the numbers.
+    """
+    small = [p for p in plan if p[2] <= files_per_partition]
+    large = [p for p in plan if p[2] > files_per_partition]
+    firsts = itertools.accumulate((s for _, _, s in large), initial=len(small) * max(1, files_per_partition))
+    rows = [(*p, i, len(small)) for i, p in enumerate(small)] + [(*p, first, 1) for p, first in zip(large, firsts)]
+    salts = spark.createDataFrame(rows, "year int, month int, _salts int, _first int, _step int")
+    return min(sum(s for _, _, s in plan), _tasks(spark, stats)), F.broadcast(salts)
+
+
 def write_partitioned(df: DataFrame, path: str, stats: list[tuple[int, int, int]] | None = None,
                       files_per_partition: int = 1, max_rows_per_file: int | None = DEFAULT_MAX_ROWS_PER_FILE,
                       dynamic: bool = True, shuffle: bool = True) -> int:
@@ -69,18 +92,17 @@ def write_partitioned(df: DataFrame, path: str, stats: list[tuple[int, int, int]
         out, total = df, 0
     elif all(s == 1 for _, _, s in plan):
         # A task may take several small months (each is still one file); large ones get a task each.
-        rows = sum(n for _, _, n in stats)
-        total = min(total, max(spark.sparkContext.defaultParallelism, math.ceil(rows / ROWS_PER_TASK)))
+        total = min(total, _tasks(spark, stats))
         out = df.repartition(total, *PARTITION_COLUMNS)
     else:
-        salts = F.broadcast(spark.createDataFrame(plan, "year int, month int, _salts int"))
+        total, salts = _salt_plan(spark, stats, plan, files_per_partition)
         row_hash = F.xxhash64(*[F.col(c) for c in cols if c not in PARTITION_COLUMNS])
         # Left join: a row whose partition is missing from the stats (or is
         # NULL, which an equi-join never matches) keeps one salt, never drops.
         out = (
             df.join(salts, list(PARTITION_COLUMNS), "left")
-            .withColumn("_salt", F.pmod(row_hash, F.coalesce(F.col("_salts"), F.lit(1))))
-            .repartition(total, *PARTITION_COLUMNS, "_salt")
+            .withColumn("_salt", F.coalesce(F.col("_first") + F.col("_step") * F.pmod(row_hash, F.col("_salts")), F.lit(0)))
+            .repartitionById(total, F.floor(F.col("_salt") * total / sum(s for _, _, s in plan)).cast("int"))
             .select(*cols)
         )
     # Count what the write actually sees (a counter in the write stage, no
