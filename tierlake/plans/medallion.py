@@ -54,7 +54,8 @@ def run_gold(spark: SparkSession, silver_uri: str, gold_uri: str, files_per_part
     if not silver.columns:
         raise G.GoldInputError(f"{silver_uri} has no columns")
     read, used = Observation("silver_rows"), Observation("base_rows")
-    base = G.base_frame(silver.observe(read, F.count(F.lit(1)).alias("rows"))).observe(used, F.count(F.lit(1)).alias("rows"))
+    layouts = G.header_layouts(silver)
+    base = G.base_frame(silver.observe(read, F.count(F.lit(1)).alias("rows")), layouts=layouts).observe(used, F.count(F.lit(1)).alias("rows"))
     cube = G.flow_cube(base, patterns, exact_scale).checkpoint()
     G.check_gates(base, cube)
     tables = G.gold_tables(cube, top_n)
