@@ -96,3 +96,33 @@ def test_salted_write_takes_tasks_by_rows_not_by_files(spark, tmp_dir):
     june = [r for r in rows if r["month"] == 6]
     assert 201 <= len(june) <= 201 + cores
     assert all(sum(r["month"] == m for r in rows) <= 2 for m in range(1, 13) if m != 6)
+
+
+def test_packed_rows_are_unpacked_after_the_shuffle(spark, tmp_dir):
+    """Salts, bounds and stats are those of the unpacked rows; only the packed ones are shuffled."""
+    packed = spark.range(3000).select(
+        F.array(*[F.struct((F.col("id") * 3 + i).alias("value")) for i in range(3)]).alias("rows"),
+        F.lit(2023).alias("year"), F.when(F.col("id") < 2500, 6).otherwise(7).cast("int").alias("month"))
+
+    def unpack(df):
+        return df.select(F.inline("rows"), "year", "month")
+
+    write_partitioned(packed, f"{tmp_dir}/packed", max_rows_per_file=1000, unpack=unpack)
+    write_partitioned(packed, f"{tmp_dir}/plain", files_per_partition=1, unpack=unpack)
+    back = spark.read.parquet(f"{tmp_dir}/packed")
+    assert sorted(back.collect()) == sorted(spark.read.parquet(f"{tmp_dir}/plain").collect()) == sorted(unpack(packed).collect())
+    files = back.groupBy("month", F.col("_metadata.file_path").alias("file")).count().collect()
+    assert max(r["count"] for r in files) <= 1000 and sum(r["month"] == 6 for r in files) >= 8
+    assert _files(f"{tmp_dir}/plain") == {"year=2023/month=6": 1, "year=2023/month=7": 1}
+
+
+def test_overwrite_query_counts_once_and_shuffles_packed_rows(spark, monkeypatch):
+    from tests.conftest import SF001
+    from tierlake.plans import job_queries
+    calls = []
+    counts, write = job_queries.partition_counts, job_queries.write_partitioned
+    monkeypatch.setattr(job_queries, "partition_counts", lambda df: calls.append("count") or counts(df))
+    monkeypatch.setattr(job_queries, "write_partitioned",
+                        lambda df, path, stats=None, **kw: calls.append(stats is not None and "rows" in df.columns) or write(df, path, stats, **kw))
+    assert job_queries.q_silver_overwrite(spark, SF001).count() > 0
+    assert calls == ["count", True, True, True]

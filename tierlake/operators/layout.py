@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -70,7 +71,8 @@ def _salt_plan(spark, stats, plan: list[tuple[int, int, int]], files_per_partiti
 
 def write_partitioned(df: DataFrame, path: str, stats: list[tuple[int, int, int]] | None = None,
                       files_per_partition: int = 1, max_rows_per_file: int | None = DEFAULT_MAX_ROWS_PER_FILE,
-                      dynamic: bool = True, shuffle: bool = True) -> int:
+                      dynamic: bool = True, shuffle: bool = True,
+                      unpack: Callable[[DataFrame], DataFrame] | None = None) -> int:
     """Write ``df`` partitioned by year/month; returns the number of write tasks
     (0 when written straight from its own partitions).
 
@@ -78,10 +80,12 @@ def write_partitioned(df: DataFrame, path: str, stats: list[tuple[int, int, int]
     ``max_rows_per_file=None`` gives exactly the ``files_per_partition`` plan.
     ``shuffle=False`` writes each input partition's rows as they are (no
     exchange): right when every input partition holds a single month, as
-    with monthly source files.
+    with monthly source files. ``unpack`` makes the table's rows of ``df``'s,
+    which may hold several rows of one month each, after the shuffle; the
+    stats count the unpacked rows.
     """
     if stats is None:
-        stats = partition_counts(df)
+        stats = partition_counts(df if unpack is None else unpack(df))
     if not stats:
         raise ValueError(f"No rows to write for {path}.")
     spark = df.sparkSession
@@ -105,6 +109,7 @@ def write_partitioned(df: DataFrame, path: str, stats: list[tuple[int, int, int]
             .repartitionById(total, F.floor(F.col("_salt") * total / sum(s for _, _, s in plan)).cast("int"))
             .select(*cols)
         )
+    out = out if unpack is None else unpack(out)
     # Count what the write actually sees (a counter in the write stage, no
     # extra pass) and compare it with the stats the plan was sized from.
     observed = Observation("tierlake_write")

@@ -23,7 +23,7 @@ from tierlake.plans.registry import (
     CHECK_MONTH, CHECK_YEAR, EXACT_SCALE, _base, _cube, _gold_materialized,
 )
 from tierlake.session import checkpoint_dir
-from tierlake.sources.observations import observations, raw_feed
+from tierlake.sources.observations import observations, packed_observations, raw_feed, unpacked
 from tierlake.sources.raw_csv import FILE_COLUMN, read_raw_csv
 from tierlake.sources.storage import Storage
 
@@ -73,13 +73,17 @@ def q_catalog_partitions(spark, d):
 def q_silver_overwrite(spark, d):
     """Two overlapping batches and a re-run of the second one: what each of the three writes did to each month."""
     path = _folder(spark, "overwrite")
-    feed = observations(spark, d)
+    feed = packed_observations(spark, d)
+    # A batch holds whole months; rows without one are in neither.
+    counts = [c for c in partition_counts(unpacked(feed)) if None not in c]
     first = feed.where(_period() <= FIRST_UNTIL).withColumn("batch", F.lit("first"))
     second = feed.where(_period() >= SECOND_FROM).withColumn("batch", F.lit("second"))
     label = F.concat_ws("+", F.array_sort(F.collect_set("batch"))).alias("batches")
     months, out = None, None
-    for n, batch in enumerate((first, second, second), 1):
-        write_partitioned(batch, path)
+    in_first = [c for c in counts if c[0] * 100 + c[1] <= FIRST_UNTIL]
+    in_second = [c for c in counts if c[0] * 100 + c[1] >= SECOND_FROM]
+    for n, (batch, stats) in enumerate(((first, in_first), (second, in_second), (second, in_second)), 1):
+        write_partitioned(batch, path, stats, unpack=unpacked)
         after = stored_months(spark, path, label).checkpoint()  # the next write replaces the files
         before = after.limit(0) if months is None else months
         step = month_changes(before, after).join(after.select("year", "month", "batches"), ["year", "month"]).select(

@@ -111,6 +111,16 @@ def observations(spark: SparkSession, sf_dir: str, period: tuple[int, int] | Non
 
     ``period = (year, month)`` restricts the feed to one month the way a
     partition filter restricts a Silver scan."""
+    return unpacked(packed_observations(spark, sf_dir, period))
+
+
+def unpacked(packed: DataFrame) -> DataFrame:
+    """The observations of packed rows; further columns follow."""
+    return packed.select(F.inline("rows"), *(c for c in packed.columns if c != "rows"))
+
+
+def packed_observations(spark: SparkSession, sf_dir: str, period: tuple[int, int] | None = None) -> DataFrame:
+    """One row per line item with its observations' countries and flows in the array ``rows``."""
     lines = trade_lines(spark, sf_dir, period)
     supp_country = F.when(F.col("s_acctbal") < 0, F.lit("")).otherwise(F.col("supp_nation"))
     cust_country = F.concat(F.col("cust_nation"), F.lit(" "))
@@ -129,7 +139,7 @@ def observations(spark: SparkSession, sf_dir: str, period: tuple[int, int] | Non
     cross = F.array(obs(supp_country, produced), obs(supp_country, exported), obs(cust_country, imported))
     rows = F.when(F.col("s_nationkey") != F.col("c_nationkey"), cross).otherwise(local)
     return lines.select(
-        F.inline(rows),
+        rows.alias("rows"),
         F.concat(F.lit("PART#"), F.col("l_partkey").cast("string")).alias("product"),
         F.lit("USD").alias("unit"),
         F.year("l_shipdate").alias("year"),
